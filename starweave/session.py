@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,7 +22,21 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, **conf:
     } | conf
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship_package(builder.getOrCreate())
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send this package to the executors' Python workers, once per application."""
+    context = spark.sparkContext
+    if not getattr(context, "_starweave_shipped", False):
+        root = Path(__file__).resolve().parent
+        archive = Path(tempfile.mkdtemp(prefix="spark-")) / "starweave_package.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for file in sorted(root.rglob("*.py")):
+                z.write(file, file.relative_to(root.parent))
+        context.addPyFile(str(archive))
+        context._starweave_shipped = True
+    return spark
 
 
 def shared_folder(spark: SparkSession) -> str:
