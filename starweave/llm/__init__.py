@@ -1 +1 @@
-
+"""Operators for language-model training data. Nothing outside this subpackage imports it."""
