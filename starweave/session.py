@@ -53,7 +53,7 @@ def materialise(df: DataFrame) -> DataFrame:
     every executor can reach, so a lost executor costs at most the tasks that were running on it."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._starweave_path = path
     return out
