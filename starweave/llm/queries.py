@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starweave.functions.numeric import parse_id, plain_word
 from starweave.llm.components import connected_components
+from starweave.llm.leaked_passages import leaked_passages
 from starweave.llm.tokenise_corpus import tokenise
 from starweave.sources.tables import table
 
@@ -40,7 +41,20 @@ def p6_ids(spark: SparkSession, sf: str) -> DataFrame:
     return tokenise(table(spark, sf, "documents"), "doc_id", "text", public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p5_group_sizes, p6_ids)}
+def _leaks(spark: SparkSession, sf: str) -> DataFrame:
+    return leaked_passages(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "eval_items").select("item_id", "item_text"))
+
+
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _leaks(spark, sf).select("item_id", "doc_id")
+
+
+def p7_leaks(spark: SparkSession, sf: str) -> DataFrame:
+    """What leaked, per item: documents, longest passage, and documents that hold the answer too."""
+    return _leaks(spark, sf).groupBy("item_id").agg(F.count(F.lit(1)).alias("n_docs"), F.max("passage_words").alias("longest"), F.count_if("has_answer").alias("n_with_answer"))
+
+
+QUERIES = {f.__name__: f for f in (p5_found, p5_group_sizes, p6_ids, p7_found, p7_leaks)}
 
 _ID = "TRY_CAST(regexp_extract(regexp_replace({0}, '(?i)^\\s*gaia\\s*e?dr\\s*[0-9]+($|[^0-9])', '\\1'), '([0-9]+)[^0-9]*$', 1) AS BIGINT)"
 

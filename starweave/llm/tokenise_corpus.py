@@ -4,9 +4,10 @@
    alike wherever they stand. A cut moves on to the next place where a blank follows a visible ASCII
    sign, if one is near: no pre-token of the vocabulary's pattern reaches across such a place, so the
    texts on both sides encode independently. Other cuts are marked as open.
-2. Equal chunks (by a 128-bit hash) meet in one task and are encoded once; each task sends a chunk
-   once, so a licence header on every document is one row per task.
-3. The ids go back to their documents. At an open join the ids around it are decoded and re-encoded,
+2. All places of a chunk (by its 128-bit hash) meet in one task, which encodes it once; the chunk's
+   text is sent once per reading task, its other places as bare references. The places of a chunk that
+   holds a large share of all are spread over several tasks.
+3. The ids go back to their documents by one exchange. At an open join the ids around it are decoded and re-encoded,
    over a window that widens until it ends at such independent places on both sides: there the
    re-encoded ids agree exactly with the ids beside them.
 
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starweave.operators.skew import hot_keys, join_hot
+from starweave.operators.skew import hot_keys
 from starweave.session import materialise
 
 #: A cut at one byte in 512 on average.
@@ -38,6 +39,8 @@ SNAP = 64
 BLOCK = 1 << 20
 #: A chunk key is sent once per task, as long as the task has seen fewer keys than this.
 KEYS_PER_TASK = 1_000_000
+#: Into so many tasks goes a chunk that holds a large share of all places.
+SPREAD = 32
 
 _ENCODERS: dict[tuple[str, str], tuple[tiktoken.Encoding, list[bytes]]] = {}
 
@@ -134,7 +137,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bounds = np.searchsorted(cuts, np.stack([starts, starts + sizes]))
             rows: tuple[list, ...] = tuple([] for _ in names)
             for doc, text, start, size, lo, hi in zip(part.column(0).to_pylist(), texts, starts.tolist(), sizes.tolist(), *bounds.tolist(), strict=True):
-                text_key = xxhash.xxh3_128_digest(text)
+                text_key = xxhash.xxh3_64_intdigest(text) - (1 << 63)
                 edges = [start, *cuts[lo:hi].tolist(), start + size] if size else []
                 joins = [True, *free[lo:hi].tolist()]
                 for pos in range(max(1, len(edges) - 1)):
@@ -147,24 +150,28 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         seen.add(key)
                     for to, value in zip(rows, (doc, text_key, pos, joins[pos], key, body if new else None), strict=True):
                         to.append(value)
-            kinds = (pa.int64(), pa.binary(), pa.int32(), pa.bool_(), pa.binary(), pa.binary())
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(r, k) for r, k in zip(rows, kinds, strict=True)], names)
 
 
 def _encode(path: str, pattern: str):
-    """(key, body) of one hash partition to (key, ids): each key once, ids as little-endian uint32."""
+    """Chunk rows sorted by key, a body first, to (doc_id, text_key, pos, free, ids): one encoding per key."""
+    names = ["doc_id", "text_key", "pos", "free", "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, _ = encoder(path, pattern)
-        done: set[bytes] = set()
+        kind = np.uint16 if enc.n_vocab <= 65_536 else np.uint32
+        current, ids = None, b""
         for batch in batches:
-            keys, ids = [], []
-            for key, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if key not in done:
-                    done.add(key)
-                    keys.append(key)
-                    ids.append(np.array(encode_text(enc, body.decode()), np.uint16 if enc.n_vocab <= 65_536 else np.uint32).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(ids, pa.binary())], ["key", "ids"])
+            kept, out = [], []
+            for n, (key, body, pos) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("key", "body", "pos")), strict=True)):
+                if key != current:
+                    current, ids = key, np.array(encode_text(enc, body.decode()), kind).tobytes()
+                if pos >= 0:
+                    kept.append(n)
+                    out.append(ids)
+            rows = batch.select(names[:-1]).take(pa.array(kept, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(out, pa.binary())], names)
 
     return run
 
@@ -241,13 +248,16 @@ def _assemble(path: str, pattern: str):
 
 def tokenise(docs: DataFrame, id_col: str, text_col: str, vocabulary: str, pattern: str) -> DataFrame:
     """(doc_id, ids array<int>): the ids of every text by the rank file ``vocabulary``."""
-    schema = "doc_id bigint, text_key binary, pos int, free boolean, key binary, body binary"
+    schema = "doc_id bigint, text_key bigint, pos int, free boolean, key binary, body binary"
     chunks = materialise(docs.select(F.col(id_col).cast("bigint"), F.col(text_col)).mapInArrow(_chunks, schema))
-    bodies = chunks.where(F.col("body").isNotNull()).select("key", "body")
-    encoded = bodies.repartition("key").mapInArrow(_encode(vocabulary, pattern), "key binary, ids binary")
-    refs = chunks.select("doc_id", "text_key", "pos", "free", "key")
-    hot = hot_keys(refs.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "key", "n")
-    joined = join_hot(refs, encoded, "key", hot, salt_by="doc_id")
+    hot = hot_keys(chunks.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "key", "n")
+    rows = chunks.withColumn("salt", F.lit(0))
+    if hot:
+        is_hot = F.col("key").isin(list(hot))
+        carriers = chunks.where(is_hot & F.col("body").isNotNull()).withColumns({"salt": F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))), "pos": F.lit(-1)})
+        rows = chunks.withColumn("salt", F.when(is_hot, F.pmod(F.xxhash64("doc_id", "pos"), F.lit(SPREAD)).cast("int")).otherwise(0)).unionByName(carriers)
+    placed = rows.repartition("key", "salt").sortWithinPartitions("key", F.col("body").asc_nulls_last())
+    encoded = placed.mapInArrow(_encode(vocabulary, pattern), "doc_id bigint, text_key bigint, pos int, free boolean, ids binary")
     parts = F.sort_array(F.collect_set(F.struct("pos", "free", "ids"))).alias("parts")
-    docs_parts = joined.groupBy("doc_id", "text_key").agg(parts).select("doc_id", "parts")
-    return docs_parts.mapInArrow(_assemble(vocabulary, pattern), "doc_id bigint, ids array<int>")
+    whole = encoded.groupBy("doc_id", "text_key").agg(parts).select("doc_id", "parts")
+    return whole.mapInArrow(_assemble(vocabulary, pattern), "doc_id bigint, ids array<int>")
