@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from starweave.functions.numeric import parse_id, plain_word
 from starweave.llm.components import connected_components
 from starweave.llm.leaked_passages import leaked_passages
+from starweave.llm.template_residue import template_residue
 from starweave.llm.tokenise_corpus import tokenise
 from starweave.sources.tables import table
 
@@ -54,7 +55,19 @@ def p7_leaks(spark: SparkSession, sf: str) -> DataFrame:
     return _leaks(spark, sf).groupBy("item_id").agg(F.count(F.lit(1)).alias("n_docs"), F.max("passage_words").alias("longest"), F.count_if("has_answer").alias("n_with_answer"))
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p5_group_sizes, p6_ids, p7_found, p7_leaks)}
+def _residue(spark: SparkSession, sf: str) -> DataFrame:
+    return template_residue(table(spark, sf, "documents"), "doc_id", "text")
+
+
+def p8_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _residue(spark, sf).select("doc_id")
+
+
+def p8_kinds(spark: SparkSession, sf: str) -> DataFrame:
+    return _residue(spark, sf).groupBy("kind").agg(F.count(F.lit(1)).alias("n_docs"), F.count_if(F.col("coverage") >= 0.5).alias("n_mostly_residue"))
+
+
+QUERIES = {f.__name__: f for f in (p5_found, p5_group_sizes, p6_ids, p7_found, p7_leaks, p8_found, p8_kinds)}
 
 _ID = "TRY_CAST(regexp_extract(regexp_replace({0}, '(?i)^\\s*gaia\\s*e?dr\\s*[0-9]+($|[^0-9])', '\\1'), '([0-9]+)[^0-9]*$', 1) AS BIGINT)"
 

@@ -1,0 +1,118 @@
+"""Short samples of what the residue models are fitted on, and of texts that only
+handle or explain such things. Lists that combine parts are built by rule."""
+
+from __future__ import annotations
+
+FIELDS = ("project_name", "short_description", "author_name", "full_name", "version", "year", "package_name", "email")
+
+#: Spellings of an unfilled slot; {f} is the field, {F} in capitals, {s} with blanks, {S} with blanks in capitals, {d} with dashes.
+SLOT_STYLES = ("{{{{ {f} }}}}", "{{{{{f}}}}}", "{{{{cookiecutter.{f}}}}}", "@{F}@", "%%{F}%%", "__{F}__", "$${f}$$", "[[{f}]]", "«{f}»", "<%= {f} %>", "<{s}>", "<your-{d}-here>", "[INSERT {S}]")
+
+#: Lines a scaffold leaves around its slots.
+SLOT_LINES = ("{x}", "# {x}", '"""{x}"""', '"summary": "{x}",', '"name": "{x}",', '"keeper": "{x}",', '__keeper__ = "{x}"', " * {x}: {x}", " * @since {x}", "site: {x}", 'keeper: "{x}"', "Kept by {x}.", "Copyright {x} {x}")
+
+PLACEHOLDERS = (
+    "Your Name", "Your Name Here", "YOUR NAME", "Firstname Lastname", "Author Name", "Author Person", "name-of-keeper", "my-project-name", "change-me", "changeme-changeme",
+    "REPLACE_ME", "YOUR_KEY_HERE", "YOUR_HOST_HERE", "http://CHANGE-ME/", "host-goes-here", "paste-your-key-here", "paste-your-token-here", "your-token-goes-here", "your-key-goes-here",
+    "xxxxxxxxxxxx-put-key-here", "xxxxxxxxxxxx-put-token-here", "your.mail@mail.example", "mail of keeper", "Name of keeper", "Name of the project", "Project name", "Project title",
+    "Add a short description here", "Add a short description here.", "A short description of the package", "A short description of the package.", "description goes here", "Description goes here.",
+    "Usage goes here.", "Licence goes here.", "Describe the project here", "Describe the project here.", "One sentence about what this does goes here", "One sentence about what this does goes here.",
+    "Explain how to use the project.", "Write a summary here", "Write a summary here.", "Put a summary here", "Put a summary here.", "Write usage notes here.", "Put usage notes here.", "FIXME add summary", "FIXME add summary.", "FIXME: add summary",
+    "TODO: describe this package", "TODO: describe this package.", "TODO: choose a licence.", "TODO: add usage.", "(fill in later)", "(write in later)", "...add text...", "Add text here.", "Fill this in.",
+)
+
+PLACEHOLDER_LINES = ("{x}", "# {x}", "    author=\"{x}\",", "    summary=\"{x}\",", "keeper: {x}", "name: {x}", "key: {x}", " * {x}", " * @author {x}", '"keeper": "{x}", "summary": "', '", "key": "{x}"}}', '_KEY="{x}"', 'exec --to "{x}"')
+
+#: Words of the pseudo-Latin filler; "orbit" among them is an ordinary word as well.
+FILLER_WORDS = (
+    "absit", "aurum", "bovet", "cepta", "corva", "creda", "dolum", "donec", "elitas", "festa", "lorem", "ipsum", "lumet", "melum", "mirat", "nulim", "orbit", "plavit", "quarum", "ranum", "sitar",
+    "sonta", "trinum", "velit", "vorat", "dolor", "amet", "consectetur", "adipiscing", "elit",
+)
+
+FILLER_LINES = (
+    "Dummy text for the page. Change me.", "Dummy text for the page. Put real words here.", "Dummy text for the page. Replace it with your own words.", "This is sample text. Change me.",
+    "This is sample text. Replace it with your own words.", "This is sample text. Put real words here.", "This is dummy text. Change me.", "This is filler text. Replace it with your own words.",
+    "Placeholder copy. Change me.", "Placeholder copy. Put real words here.", "Placeholder text. Put real words here.", "Placeholder text. Replace it with your own words.", "Body text goes here. Body text goes here. Body text goes here.",
+    "Some text here. Some text here. Some text here.", "Your text here. Your text here. Your text here.", "text text text text text text text text", "xxx xxx xxx xxx xxx xxx xxx xxx", "asdf asdf asdf asdf asdf asdf asdf asdf", "blah blah blah blah blah blah blah", "foo foo foo foo foo foo foo foo", "Title goes here", "Headline", "Heading two", "<h1>Heading</h1>", "<h2>Headline</h2><p>Body text goes here. ", "<h2>Title goes here</h2><p>Body text goes here. ", "Lorem ipsum dolor sit amet, consectetur adipiscing elit.",
+)
+
+STATUSES = {400: "Bad Request", 401: "Unauthorized", 403: "Forbidden", 404: "Not Found", 429: "Too Many Requests", 500: "Internal Server Error", 502: "Bad Gateway", 503: "Service Unavailable", 504: "Gateway Timeout"}
+
+STATUS_LINES = (
+    "<title>{n} {t}<", "<center><h1>{n} {t}</h1></center>", "<body><h1>{n} {t}</h1>", '{{"message":"{t}","status":{n}}}',
+    '{{"message": "{t}", "status": {n}, "help": "https://docs.x.example/errors"}}', "{t}", "HTTP {n} {t}", "{n}: {t}", "{n} {t}", "Error {n}: {t}", "Error {n}",
+)
+
+NOTICES = (
+    "<hr><center>x-gate/1.2</center>", "File not found.", "Page not found.", "Access denied.", "Request timed out", "Request timed out.", "Connection reset by peer", "You have made too many requests. Try again in 30 seconds.", "Too many requests. Try again in 30 seconds.",
+    "Something went wrong", "<h1>Something went wrong</h1><p>The download was stopped by the server.</p>", "The download was stopped by the server.", "The file you asked for could not be found, or it has been moved.",
+    '<body class="err"><h1>Something went wrong</h1><p>The file you asked for could not be found, or it has been moved. Ticket 4af0.</p><a href="/">Back to the start page</a>',
+    "<h1>Sign in to go on</h1><p>Your session has ended. Please sign in again to view this file.</p><form><input name=\"user\"><input name=\"word\" type=\"password\"></form>",
+    "curl: (18) transfer closed with 512 bytes left to read", "curl: (28) operation timed out", "fatal: could not read object 0a0cb0c0e0d0aeaab", '{"error": {"code": 403, "reason": "rateLimit", "text": "Quota used up for x"}}',
+    "This repository is no longer available.", "This file is no longer available.", "This project is no longer available.", "This page is no longer available.", "Hm, this page does not exist.", "Oops! we could not find that file.", "Sorry, we could not find that page.", "Oops! Something went wrong.", "Hm, we could not find that repository.", "This page does not exist.",
+    "Traceback (most recent call last):\n  File \"/srv/app/serve.py\", line 10, in render\nTemplateMissing: x.html", "Gateway refused the request (x-1)", "Gateway timed out (x-1)", "Gateway error (x-1)", "Proxy error (x-1)", "Proxy refused the request (x-1)",
+    "Proxy timed out (x-1)", "Upstream refused the request (x-1)", "Upstream error (x-1)", "Upstream timed out (x-1)", "<Error><Code>NoSuchObject</Code><Resource>/x/y</Resource><RequestId>0BDB0C0</RequestId></Error>",
+    "<?xml version=\"1.0\"?>\n<Error><Code>AccessDenied</Code><Resource>/x/y</Resource>", "Page introuvable.", "Fichier introuvable. Le fichier demandé n’existe pas ou a été déplacé.", "Page introuvable. Veuillez réessayer plus tard.", "Accès refusé.",
+    "Fehler 404: Seite nicht gefunden.", "Seite nicht gefunden. Bitte prüfen Sie die Adresse.", "Fehler 504: Zeitüberschreitung.", "Fehler 403: Zugriff verweigert.", "Fehler 503: Der Dienst ist zurzeit nicht erreichbar.",
+    "Página no encontrada. No tiene permiso para ver este archivo.", "Acceso denegado. No tiene permiso para ver este archivo.", "Página no encontrada. Inténtelo de nuevo más tarde.", "Servicio no disponible. Inténtelo más tarde.", "Datei nicht gefunden. Bitte prüfen Sie die Adresse.", "Ошибка 404. Страница не найдена.", "Ошибка 403. Доступ запрещён.", "Ошибка 503. Сервис недоступен.",
+    "ページが見つかりません。 404", "アクセスが拒否されました。 403", "服务器错误，请稍后再试。(500)", "页面不存在。(404)",
+)
+
+SCRIPT_WORDS = ("JavaScript", "JS", "scripts", "scripting", "JavaScript and cookies")
+
+#: Demands for scripts; {j} is one of SCRIPT_WORDS.
+SCRIPT_DEMANDS = (
+    "You need to enable {j} to see the source.", "You need to enable {j} to run x.", "Please enable {j} to view this file.", "Please turn on {j} in your browser.", "Please turn on {j} for the x view.", "Kindly switch on {j} and load the page again.",
+    "Kindly switch on {j} before going on to x.example.", "This view needs {j} for the x view.", "This view needs {j} to view this file.", "This site requires {j} to run x.", "This page requires {j} and load the page again.", "{j} is disabled in your browser; the page cannot be shown.", "{j} is blocked in your browser; the file cannot be shown.",
+    "{j} is switched off in your browser; the source cannot be shown.", "{j} seems to be disabled in your browser; the source cannot be shown.", "{j} seems to be blocked in your browser; the page cannot be shown.", "{j} seems to be switched off in your browser; the file cannot be shown.",
+    "It looks like your browser does not run {j}, so the x view cannot be shown.", "Checking your browser before you go on to x.example ... {j} required.", "Active {j} en su navegador para ver este archivo.", "Debe activar {j} en su navegador para continuar.",
+    "请启用 {j} 后继续浏览。", "このページを表示するには {j} を有効にしてください。", "Vous devez autoriser {j} pour voir cette page.", "Veuillez activer {j} pour continuer.", "Bitte aktivieren Sie {j}, um fortzufahren.", "Sie müssen {j} einschalten, um fortzufahren.", "Zum Anzeigen bitte {j} im Browser zulassen.",
+    "Пожалуйста, включите {j} в браузере.", "Для просмотра включите {j}.",
+)
+
+DEMAND_LINES = ("{x}", "<noscript>{x}</noscript>", "-warn\"><b>{x}</b></div><script>load_", "<h1>{x}</h1>")
+
+#: Lines that handle, test, translate or explain such things, or templates that are meant to be filled.
+HANDLED_LINES = (
+    '  "not_found": "Page not found",', '  "need_js": "Please enable JavaScript",', '  "sign_in": "Sign in to go on"', '_gone": "The file was removed",', '_saved": "The file was saved",', '<noscript>Some charts need JavaScript.</noscript>',
+    "{% for x in y_list %}", "{% endfor %}", "  <li>{{ x.title }} - {{ x.name | round }}</li>", "<% @x.each do |y| %>", "  <p><%= y.name %>: <%= y.title %></p>", "  <p><%= v.name %>: <%= v.vessel %></p>", "name %>: <%= a.", "name %>: <%= s.", "name %>: <%= p.", "<% end %>", "prefix=@PREFIX@", "name=@NAME@", "x_dir=${prefix}/x",
+    'sed -e "s/@name@/${x}/g" x.in > x', "A slot is written `{{ x }}` and is filled from the x map when the page is built. An unknown slot stops the build.", "# TODO: replace the x loop once y is stable", 'MESSAGE = "%(level)s {name} x"', "print(MESSAGE.format(name='x'))",
+    '"""Make words of filler for layout tests."""', '"""Make n words of filler for layout tests."""', "def filler_x(n, seed=0):", '    return " ".join(rng.choice(STOCK) for _ in range(n))', "    rng = random.Random(seed)", "class NotFoundError(Exception):",
+    "    assert client.get(\"/x\").text == \"Access denied.\"", "def test_x_denied(client):", "    if (!x) return res.status(404).send(\"404 Not Found\");", "  res.send(`<b>${x.name}</b>`);", "INSERT INTO http_x (code, label) VALUES", "var statusText = map[int]string{",
+    "                return self._send(404, \"Not Found\")", "raise KeyError(\"no such file\")", "// This file was made by a tool; changes will be lost", "-----BEGIN FAKE KEY-----", "    except KeyError:", "Copyright 2014 the x group.",
+)
+
+HANDLED_STATUS_LINES = ("  ({n}, '{t}'),", "  {n}: \"{t}\",", "    status = {n}", "    message = \"{t}\"", "\t{n}: \"{t}\",", "send(\"{n} {t}\");", "  ({n}, '{t}');")
+
+
+def _slots() -> list[str]:
+    out = []
+    for f in FIELDS:
+        spaced, dashed = f.replace("_", " "), f.replace("_", "-")
+        for style in SLOT_STYLES:
+            slot = style.format(f=f, F=f.upper(), s=spaced, S=spaced.upper(), d=dashed)
+            out += [line.format(x=slot) for line in SLOT_LINES]
+    return out
+
+
+def _filler() -> list[str]:
+    pairs = [f"{a}{mid}{b}" for a in FILLER_WORDS for b in FILLER_WORDS for mid in (" ", ". ")]
+    return [f"{p} {q}." for p, q in zip(pairs[::2], pairs[1::2], strict=True)]
+
+
+#: Kind of residue to its samples; each kind is a model of its own.
+SEEDS = {
+    "slot": _slots(),
+    "placeholder": [line.format(x=p) for p in PLACEHOLDERS for line in PLACEHOLDER_LINES],
+    "filler": _filler(),
+    "dummy text": list(FILLER_LINES),
+    "error status": [line.format(n=n, t=t) for n, t in STATUSES.items() for line in STATUS_LINES],
+    "error message": list(NOTICES),
+    "script demand": [line.format(x=d.format(j=j)) for d in SCRIPT_DEMANDS for j in SCRIPT_WORDS for line in DEMAND_LINES],
+}
+#: Samples of handling, by group; each group is a model of its own.
+HANDLED = {
+    "lines": list(HANDLED_LINES),
+    "status tables": [line.format(n=n, t=t) for n, t in STATUSES.items() for line in HANDLED_STATUS_LINES],
+    "word stocks": [f"'{a}', '{b}', " for a in FILLER_WORDS for b in FILLER_WORDS],
+}
