@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starweave.functions.numeric import parse_id, plain_word
 from starweave.llm.components import connected_components
+from starweave.llm.entity_match import first_source, match_entities, second_source
 from starweave.llm.leaked_passages import leaked_passages
 from starweave.llm.template_residue import template_residue
 from starweave.llm.tokenise_corpus import tokenise
@@ -18,6 +19,25 @@ MATCH_DECISIONS = ("official_confirmed", "supplemental_match", "manual_review")
 SIGN = -(2**63)
 
 
+#: A pair counts as one thing from this confidence on.
+MATCH_CONFIDENCE = 0.5
+
+
+def _matches(spark: SparkSession, sf: str) -> DataFrame:
+    return match_entities(first_source(table(spark, sf, "raw_gaia")), second_source(table(spark, sf, "raw_hip")))
+
+
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    found = _matches(spark, sf).where(F.col("confidence") >= MATCH_CONFIDENCE)
+    return found.select(F.col("id2").alias("hip_source_id"), F.col("id").alias("gaia_source_id"))
+
+
+def p2_confidence(spark: SparkSession, sf: str) -> DataFrame:
+    """How many candidate pairs have which confidence, in tenths."""
+    tenth = F.least(F.floor(F.col("confidence") * 10), F.lit(9)).cast("int").alias("tenth")
+    return _matches(spark, sf).groupBy(tenth).agg(F.count(F.lit(1)).alias("n_pairs"), F.round(F.avg("cosine"), 3).alias("mean_cosine"))
+
+
 def _components(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "match_evidence").where(plain_word("decision").isin(*MATCH_DECISIONS))
     links = rows.select(parse_id("hip_source_id").bitwiseOR(F.lit(SIGN)).alias("hip"), parse_id("gaia_source_id").alias("gaia"))
@@ -67,7 +87,7 @@ def p8_kinds(spark: SparkSession, sf: str) -> DataFrame:
     return _residue(spark, sf).groupBy("kind").agg(F.count(F.lit(1)).alias("n_docs"), F.count_if(F.col("coverage") >= 0.5).alias("n_mostly_residue"))
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p5_group_sizes, p6_ids, p7_found, p7_leaks, p8_found, p8_kinds)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_confidence, p5_found, p5_group_sizes, p6_ids, p7_found, p7_leaks, p8_found, p8_kinds)}
 
 _ID = "TRY_CAST(regexp_extract(regexp_replace({0}, '(?i)^\\s*gaia\\s*e?dr\\s*[0-9]+($|[^0-9])', '\\1'), '([0-9]+)[^0-9]*$', 1) AS BIGINT)"
 
