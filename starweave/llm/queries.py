@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from starweave.functions.numeric import parse_id, plain_word
 from starweave.llm.components import connected_components
-from starweave.llm.entity_match import first_source, match_entities, second_source
+from starweave.llm.entity_match import match_entities
 from starweave.llm.leaked_passages import leaked_passages
 from starweave.llm.template_residue import template_residue
 from starweave.llm.tokenise_corpus import tokenise
@@ -24,7 +24,7 @@ MATCH_CONFIDENCE = 0.5
 
 
 def _matches(spark: SparkSession, sf: str) -> DataFrame:
-    return match_entities(first_source(table(spark, sf, "raw_gaia")), second_source(table(spark, sf, "raw_hip")))
+    return match_entities(table(spark, sf, "raw_gaia"), table(spark, sf, "raw_hip"))
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
