@@ -1,7 +1,7 @@
 """Unfilled slots, filler, error pages and demands for scripts in place of content.
 
 Character n-gram models: one per kind of residue (slots, filler, notices and so on), fitted on the
-samples in ``residue_seeds``; one of natural text, the n-gram counts of the whole corpus; one of lines that only
+samples in ``residue_seeds``; one of natural text, the n-gram counts of all lines of the corpus; one of lines that only
 handle or explain such things (translations, tests, templates, manuals), from samples too. The models
 are tables over hashed n-grams of lower-case bytes with digits folded.
 
@@ -34,6 +34,9 @@ FLOOR = 2e-6
 LLR_LOW, LLR_HIGH = -4.0, 6.0
 STRONG, WEAK, MOSTLY, MIN_COVERAGE = 60.0, 25.0, 0.5, 0.005
 PART = 1 << 14
+PIECE, TEXTS_AT_ONCE = 240, 500
+#: Unseen natural n-grams assumed besides the corpus, so that a small corpus does not vouch for its own residue.
+PRIOR_GRAMS = 200_000
 BLOCK_BYTES = 1 << 20
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -65,14 +68,25 @@ def _shares(texts: list[str]) -> np.ndarray:
     return counts / counts.sum()
 
 
+def count_texts(texts: list[str]) -> np.ndarray:
+    """n-gram counts of the distinct lines of a few texts; long lines are taken in pieces.
+
+    Counting lines and not their copies keeps a page that stands in a third of all documents from
+    passing for natural text."""
+    pieces = {line[i : i + PIECE] for t in texts for line in t.split("\n") for i in range(0, len(line), PIECE)}
+    data = np.frombuffer(("\n" + "\n\n".join(sorted(pieces)) + "\n").encode(), np.uint8)
+    total = np.zeros(1 << TABLE_BITS, np.int64)
+    for lo in range(0, len(data), BLOCK_BYTES):
+        total += np.bincount(gram_codes(data[lo : lo + BLOCK_BYTES + GRAM - 1]), minlength=1 << TABLE_BITS)
+    return total
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """n-gram counts of the texts of one task, in parts."""
     total = np.zeros(1 << TABLE_BITS, np.int64)
     for batch in batches:
-        for at in range(0, batch.num_rows, 500):
-            data = _lines([t for t in batch.column(0).slice(at, 500).to_pylist() if t])
-            for lo in range(0, len(data), BLOCK_BYTES):
-                total += np.bincount(gram_codes(data[lo : lo + BLOCK_BYTES + GRAM - 1]), minlength=1 << TABLE_BITS)
+        for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+            total += count_texts([t for t in batch.column(0).slice(at, TEXTS_AT_ONCE).to_pylist() if t])
     places = range(0, len(total), PART)
     yield pa.RecordBatch.from_arrays([pa.array(list(places), pa.int32()), pa.array([total[p : p + PART].tobytes() for p in places], pa.binary())], ["at", "part"])
 
@@ -86,7 +100,7 @@ def _add(table: pa.Table) -> pa.Table:
 
 def ratios_of(corpus: np.ndarray) -> np.ndarray:
     """Log-likelihood ratios: one row per kind against natural text, and a last row of handling against both."""
-    natural = corpus / max(corpus.sum(), 1)
+    natural = corpus / (corpus.sum() + PRIOR_GRAMS)
     kinds = [_shares(SEEDS[k]) for k in KINDS]
     rows = [np.log((k + FLOOR) / (natural + FLOOR)) for k in kinds]
     handled = np.max([_shares(h) for h in HANDLED.values()], axis=0)
