@@ -74,7 +74,8 @@ def separation_3d_pc(r1: Column, r2: Column, sep_arcsec: Column) -> Column:
     """Distance between two bodies by the law of cosines, never below 0; NULL if any part is missing."""
     a, b = finite_or_null(r1), finite_or_null(r2)
     cos = F.cos(F.radians(finite_or_null(sep_arcsec) / 3600.0))
-    return F.sqrt(F.greatest(F.lit(0.0), a * a + b * b - 2.0 * a * b * cos))
+    square = a * a + b * b - 2.0 * a * b * cos
+    return F.when(square.isNotNull(), F.sqrt(F.greatest(F.lit(0.0), square)))  # greatest() would pass over a NULL
 
 
 def apparent_magnitude(absolute: Column, r_pc: Column) -> Column:

@@ -193,7 +193,7 @@ near0 AS (SELECT g.id AS gid, h.id AS hid, pow(g.x - h.x, 2) + pow(g.y - h.y, 2)
           FROM g JOIN h ON g.dec BETWEEN h.dec - 0.0015 AND h.dec + 0.0015),
 near AS (SELECT *, degrees(2 * asin(least(sqrt(d2) / 2, 1))) * 3600 AS sep, count(*) OVER (PARTITION BY gid) AS gsky, count(*) OVER (PARTITION BY hid) AS hsky FROM near0 WHERE d2 <= pow(2 * sin(radians(5.0 / 3600.0) / 2), 2)),
 m AS (SELECT *, abs(mag - g) AS dm, CASE WHEN gplx > 0 THEN 1000.0 / gplx END AS gr, CASE WHEN hplx > 0 THEN 1000.0 / hplx END AS hr, count(*) OVER (PARTITION BY gid) AS gcand, count(*) OVER (PARTITION BY hid) AS hcand FROM near WHERE {gate}),
-e AS (SELECT m.*, sqrt(greatest(0.0, gr * gr + hr * hr - 2.0 * gr * hr * cos(radians(sep / 3600.0)))) AS r3, gcand = 1 AND hcand = 1 AS one, gsky = 1 AND hsky = 1 AS iso, a.p AS goff, b.p AS hoff,
+e AS (SELECT m.*, CASE WHEN gr IS NOT NULL AND hr IS NOT NULL THEN sqrt(greatest(0.0, gr * gr + hr * hr - 2.0 * gr * hr * cos(radians(sep / 3600.0)))) END AS r3, gcand = 1 AND hcand = 1 AS one, gsky = 1 AND hsky = 1 AS iso, a.p AS goff, b.p AS hoff,
       coalesce(a.p = hid AND b.p = gid, false) AS opair, coalesce(a.p <> hid, false) OR coalesce(b.p <> gid, false) AS oconf,
       EXISTS (FROM nb WHERE gaia_source_id = gid AND hip_source_id = hid) AS innb, EXISTS (FROM nb WHERE gaia_source_id = gid) OR EXISTS (FROM nb WHERE hip_source_id = hid) AS anynb
       FROM m LEFT JOIN (SELECT gaia_source_id AS k, max(hip_source_id) AS p FROM o GROUP BY 1) a ON a.k = gid LEFT JOIN (SELECT hip_source_id AS k, max(gaia_source_id) AS p FROM o GROUP BY 1) b ON b.k = hid),
