@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starweave.session import materialise
+from starweave.session import materialise, spread
 
 PASSAGE, DOC_STRIDE, ITEM_STRIDE, NEED = 24, 8, 6, 19
 RANK, OVERSAMPLE, POWER_ROUNDS = 64, 16, 2
@@ -343,7 +343,7 @@ def leaked_passages(docs: DataFrame, items: DataFrame, least: int = 30, toleranc
     spark = docs.sparkSession
     schema = "item_id bigint, doc_id bigint, cosine double, passage_words int, edits int, has_answer boolean"
     items = items.where(F.col("item_text").isNotNull()).select(F.col("item_id").cast("bigint"), "item_text").distinct()
-    docs = docs.where(F.length("text") > 0).select(F.col("doc_id").cast("bigint"), "text")
+    docs = spread(docs.where(F.length("text") > 0).select(F.col("doc_id").cast("bigint"), "text"))
     blocks = -(-items.count() // ITEM_BLOCK)
     found = spark.createDataFrame([], schema)
     for block in range(blocks):

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starweave.llm.residue_seeds import HANDLED, SEEDS
+from starweave.session import spread
 
 GRAM = 5
 TABLE_BITS = 18
@@ -219,6 +220,6 @@ def _suspects(ratio: np.ndarray, texts: list[bytes]) -> list[int]:
 
 def template_residue(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, kind, strength, coverage) of the documents to leave out."""
-    texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
+    texts = spread(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).where(F.col("text").isNotNull()))
     shared = docs.sparkSession.sparkContext.broadcast(fit_ratios(texts.select("text")))
     return texts.mapInArrow(_detect(shared), "doc_id bigint, kind string, strength double, coverage double").distinct()

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starweave.operators.skew import hot_keys
-from starweave.session import materialise
+from starweave.session import materialise, spread
 
 #: A cut at one byte in 512 on average.
 CUT_MASK = np.uint64((1 << 9) - 1)
@@ -249,7 +249,7 @@ def _assemble(path: str, pattern: str):
 def tokenise(docs: DataFrame, id_col: str, text_col: str, vocabulary: str, pattern: str) -> DataFrame:
     """(doc_id, ids array<int>): the ids of every text by the rank file ``vocabulary``."""
     schema = "doc_id bigint, text_key bigint, pos int, free boolean, key binary, body binary"
-    chunks = materialise(docs.select(F.col(id_col).cast("bigint"), F.col(text_col)).mapInArrow(_chunks, schema))
+    chunks = materialise(spread(docs.select(F.col(id_col).cast("bigint"), F.col(text_col))).mapInArrow(_chunks, schema))
     hot = hot_keys(chunks.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "key", "n")
     rows = chunks.withColumn("salt", F.lit(0))
     if hot:
