@@ -48,6 +48,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in at least as many partitions as there are cores, for costly work on few or small files.
+
+    Inputs with more splits than cores, which is any large table, are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: the lineage ends at files
     every executor can reach, so a lost executor costs at most the tasks that were running on it."""
