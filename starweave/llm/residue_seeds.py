@@ -49,7 +49,7 @@ NOTICES = (
     '<body class="err"><h1>Something went wrong</h1><p>The file you asked for could not be found, or it has been moved. Ticket 4af0.</p><a href="/">Back to the start page</a>',
     "<h1>Sign in to go on</h1><p>Your session has ended. Please sign in again to view this file.</p><form><input name=\"user\"><input name=\"word\" type=\"password\"></form>",
     "curl: (18) transfer closed with 512 bytes left to read", "curl: (28) operation timed out", "fatal: could not read object 0a0cb0c0e0d0aeaab", '{"error": {"code": 403, "reason": "rateLimit", "text": "Quota used up for x"}}',
-    "This repository is no longer available.", "This file is no longer available.", "This project is no longer available.", "This page is no longer available.", "Hm, this page does not exist.", "Oops! we could not find that file.", "Sorry, we could not find that page.", "Oops! Something went wrong.", "Hm, we could not find that repository.", "This page does not exist.",
+    "This repository is no longer available.", "This file is no longer available.", "This project is no longer available.", "This page is no longer available.", "Hm, this page does not exist.", "Oops! we could not find that file.", "Sorry, we could not find that page.", "Oops! Something went wrong.", "Sorry, nothing was found.", "Oops! nothing here.", "Hm, we could not find that repository.", "This page does not exist.",
     "Traceback (most recent call last):\n  File \"/srv/app/serve.py\", line 10, in render\nTemplateMissing: x.html", "Gateway refused the request (x-1)", "Gateway timed out (x-1)", "Gateway error (x-1)", "Proxy error (x-1)", "Proxy refused the request (x-1)",
     "Proxy timed out (x-1)", "Upstream refused the request (x-1)", "Upstream error (x-1)", "Upstream timed out (x-1)", "<Error><Code>NoSuchObject</Code><Resource>/x/y</Resource><RequestId>0BDB0C0</RequestId></Error>",
     "<?xml version=\"1.0\"?>\n<Error><Code>AccessDenied</Code><Resource>/x/y</Resource>", "Page introuvable.", "Fichier introuvable. Le fichier demandé n’existe pas ou a été déplacé.", "Page introuvable. Veuillez réessayer plus tard.", "Accès refusé.",

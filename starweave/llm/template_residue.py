@@ -8,7 +8,7 @@ are tables over hashed n-grams of lower-case bytes with digits folded.
 Every byte of a text gets the log-likelihood ratio of each kind against natural text. In each line
 the window with the greatest sum is the likeliest piece of residue, unless the words beside or in it
 speak for handling by HANDLED_SUM or more in n-grams of at least HANDLED_LEAST. A window counts from
-STRONG on wherever it stands, and from WEAK on where such windows cover at least MOSTLY of the text. A document is excluded
+STRONG on wherever it stands, and from WEAK on where such windows cover the share MOSTLY of the text. A document is excluded
 if its windows cover at least MIN_COVERAGE of its visible bytes.
 
 Defined results: NULL, empty and blank texts are no cases; whole texts are read, block by block;
@@ -33,7 +33,7 @@ KINDS = tuple(SEEDS)
 HANDLED_SUM, HANDLED_LEAST, CONTEXT = 15.0, 2.5, 48
 FLOOR = 2e-6
 LLR_LOW, LLR_HIGH = -4.0, 6.0
-STRONG, WEAK, MOSTLY, MIN_COVERAGE = 60.0, 25.0, 0.5, 0.005
+STRONG, WEAK, MOSTLY, MIN_COVERAGE = 60.0, 25.0, 0.25, 0.005
 PART = 1 << 14
 PIECE, TEXTS_AT_ONCE = 240, 500
 #: Unseen natural n-grams assumed besides the corpus, so that a small corpus does not vouch for its own residue.
