@@ -93,6 +93,7 @@ def orphan_references(refs: DataFrame, parents: DataFrame, keys_per_range: int =
     ranged = refs.mapInArrow(_with_range(borders, 3), "from_table string, record_id bigint, target string, key bigint, ref_us bigint, range_id int")
     held = parents.select("target", "key", us("first_loaded").alias("first_loaded_us"), "is_dropped").mapInArrow(_with_range(borders, 1), "target string, key bigint, first_loaded_us bigint, is_dropped boolean, range_id int")
     sizes = ranged.groupBy("target", "range_id").agg(F.count(F.lit(1)).alias("n")).select("target", "range_id", batch_count(F.col("n"), batch_rows).alias("batches"))
+    sizes = F.broadcast(sizes)  # one small row per range and target: at most MAX_RANGES of them per target
     left = ranged.join(sizes, ["target", "range_id"]).withColumn("batch", F.pmod(F.xxhash64("from_table", "record_id", "key"), F.col("batches")).cast("int")).drop("batches")
     right = held.join(sizes, ["target", "range_id"]).withColumn("batch", F.explode(F.sequence(F.lit(0), F.col("batches") - 1))).drop("batches")
     group = ["target", "range_id", "batch"]

@@ -205,7 +205,7 @@ def near_points(probe: DataFrame, base: DataFrame, radius_arcsec: float, leaf_ro
     touched = probe.select("id", "ra", "dec").mapInArrow(_touched_leaves(leaves, radius_deg), schema)
     sizes = homed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).select("leaf", batch_count(F.col("n"), 4 * leaf_rows).alias("batches"))
     probes = touched.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).select("leaf", batch_count(F.col("n"), 4 * leaf_rows).alias("probe_batches"))
-    plan = sizes.join(probes, "leaf")
+    plan = F.broadcast(sizes.join(probes, "leaf"))  # one small row per leaf; their number is bounded by the sample
     left = (
         touched.join(plan, "leaf")
         .withColumn("probe_batch", F.pmod(F.xxhash64("id"), F.col("probe_batches")).cast("int"))

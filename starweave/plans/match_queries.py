@@ -140,6 +140,16 @@ def footprint(spark: SparkSession, sf: str) -> DataFrame:
     return h.groupBy("selection").agg(F.countDistinct("cell").alias("n_cells"), area.alias("area_deg2"))
 
 
+def magnitude_recovery(spark: SparkSession, sf: str) -> DataFrame:
+    """How well the official partner's magnitude agrees, by colour: counts, medians and spread."""
+    g = gaia(spark, sf).select(F.col("id").alias("gaia_source_id"), F.col("g").alias("gaia_mag"))
+    h = hip(spark, sf).select(F.col("id").alias("hip_source_id"), F.col("mag").alias("hip_mag"), F.floor(F.col("bv") / 0.25).cast("int").alias("colour_bin"))
+    both = official(spark, sf).join(g, "gaia_source_id").join(h, "hip_source_id").withColumn("delta", F.col("gaia_mag") - F.col("hip_mag"))
+    near = lambda limit: F.count_if(F.abs("delta") <= limit)
+    spread = F.percentile("delta", F.lit(0.9)) - F.percentile("delta", F.lit(0.1))
+    return rounded(both.groupBy("colour_bin").agg(F.count(F.lit(1)).alias("n"), near(0.25).alias("within_0p25"), near(0.5).alias("within_0p5"), near(1.0).alias("within_1p0"), F.median("delta").alias("median_delta"), spread.alias("spread_10_90")), 7)
+
+
 def recorded_separations(spark: SparkSession, sf: str) -> DataFrame:
     """Recorded separations against those of the recorded places."""
     e = table(spark, sf, "match_evidence").where(F.abs("gaia_dec_deg") <= 90).where(F.abs("hip_dec_deg") <= 90)
@@ -151,7 +161,7 @@ def recorded_separations(spark: SparkSession, sf: str) -> DataFrame:
     return e.select("evidence_id", near.alias("agreement")).distinct().groupBy("agreement").agg(F.count(F.lit(1)).alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (prepared_secondary, raw_evidence, gated_evidence, evidence_report, decision_counts, official_pairs, supplemental_pairs, combined_pairs, repeated_map_ids, official_recall, neighbourhood_overlap, separation_thresholds, outlier_presence, sky_density, sky_cells, footprint, recorded_separations)}
+QUERIES = {f.__name__: f for f in (prepared_secondary, raw_evidence, gated_evidence, evidence_report, decision_counts, official_pairs, supplemental_pairs, combined_pairs, repeated_map_ids, official_recall, neighbourhood_overlap, separation_thresholds, outlier_presence, sky_density, sky_cells, footprint, magnitude_recovery, recorded_separations)}
 
 
 def _mod360(x: str) -> str:
@@ -237,5 +247,6 @@ ORACLES = {
       SELECT selection, count(DISTINCT cell) AS n_cells, round(count(DISTINCT cell) * (4 * 180.0 * 180.0 / 3.141592653589793 / 768), 4) AS area_deg2 FROM (
         SELECT selection, CASE WHEN abs(z) <= 2.0 / 3 THEN concat('b ', CASE WHEN floor(jp / 8) = floor(jm / 8) THEN (floor(jp / 8) % 4) + 4 WHEN floor(jp / 8) < floor(jm / 8) THEN floor(jp / 8) % 4 ELSE (floor(jm / 8) % 4) + 8 END, ' ', jm % 8, ' ', 7 - jp % 8)
           WHEN z > 0 THEN concat('b ', q, ' ', 7 - least(floor((1 - tt + q) * w), 7), ' ', 7 - least(floor((tt - q) * w), 7)) ELSE concat('b ', q + 8, ' ', least(floor((tt - q) * w), 7), ' ', least(floor((1 - tt + q) * w), 7)) END AS cell FROM f) GROUP BY 1""",
+    "magnitude_recovery": f"WITH {SOURCES}, {MAPS}, b AS (SELECT CAST(floor(h.bv / 0.25) AS INTEGER) AS colour_bin, g.g - h.mag AS d FROM o JOIN g ON g.id = o.gaia_source_id JOIN h ON h.id = o.hip_source_id) SELECT colour_bin, count(*) AS n, count(*) FILTER (abs(d) <= 0.25) AS within_0p25, count(*) FILTER (abs(d) <= 0.5) AS within_0p5, count(*) FILTER (abs(d) <= 1.0) AS within_1p0, round(median(d), 7) AS median_delta, round(quantile_cont(d, 0.9) - quantile_cont(d, 0.1), 7) AS spread_10_90 FROM b GROUP BY 1",
     "recorded_separations": "SELECT agreement, count(*) AS n FROM (SELECT DISTINCT evidence_id, CASE WHEN off < 0.001 THEN 'same' WHEN off < 1 THEN 'near' WHEN off >= 1 THEN 'other' END AS agreement FROM (SELECT evidence_id, abs(degrees(2 * asin(least(sqrt(pow(cos(gd) * cos(ga) - cos(hd) * cos(ha), 2) + pow(cos(gd) * sin(ga) - cos(hd) * sin(ha), 2) + pow(sin(gd) - sin(hd), 2)) / 2, 1))) * 3600 - separation_arcsec) AS off FROM (SELECT evidence_id, separation_arcsec, radians(gaia_ra_deg) AS ga, radians(gaia_dec_deg) AS gd, radians(hip_ra_deg) AS ha, radians(hip_dec_deg) AS hd FROM match_evidence WHERE abs(gaia_dec_deg) <= 90 AND abs(hip_dec_deg) <= 90 AND isfinite(gaia_ra_deg) AND isfinite(hip_ra_deg) AND isfinite(separation_arcsec)))) GROUP BY 1",
 }

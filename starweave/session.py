@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -43,7 +45,9 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; a temporary one only where none is set (local tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="spark-")
+        own = tempfile.mkdtemp(prefix="spark-")
+        atexit.register(shutil.rmtree, own, True)
+        folder = "file://" + own
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
