@@ -124,10 +124,10 @@ _ISSUES = "SELECT CAST(id AS VARCHAR) AS source_id, ra, dec, r FROM hq WHERE r >
 ORACLES = {
     "audit_evidence": _AUDIT + "SELECT gid AS gaia_source_id, hid AS hip_source_id, decision, recommended_action, severity, reasons, round(sep, 4) AS separation_arcsec, round(dm, 5) AS apparent_mag_delta, round(ratio, 5) AS distance_ratio, round(frac, 5) AS distance_frac_diff, CAST(gc AS INTEGER) AS gaia_candidate_count, CAST(hc AS INTEGER) AS hip_candidate_count, one AS one_to_one, conf AS official_conflict, over AS overridden, tight AS within_auto_thresholds, frac <= 0.10 AS within_distance_threshold FROM au",
     "audit_diagnostics": _AUDIT + "SELECT gid AS gaia_source_id, hid AS hip_source_id, round(pct, 5) AS distance_pct_diff, round(abs(gr - hr), 4) AS distance_abs_diff_pc, round(worst, 7) AS worst_quality, round(best, 7) AS best_quality, round(worst / nullif(best, 0), 5) AS quality_ratio, round(sqrt(greatest(0.0, gr * gr + hr * hr - 2.0 * gr * hr * cos(radians(sep / 3600.0)))), 3) AS separation_3d_pc, clean AS is_clean FROM au",
-    "audit_histogram": _AUDIT + f"SELECT b.a AS bin_start_pct, b.e AS bin_end_pct, count(pct) FILTER (clean) AS clean_auto_eligible_count, count(pct) AS all_candidate_count FROM (VALUES {_EDGES}) b(a, e) LEFT JOIN au ON pct >= b.a AND (pct < b.e OR (b.e = 100.0 AND pct = 100.0)) GROUP BY 1, 2",
+    "audit_histogram": _AUDIT + f"SELECT CAST(b.a AS DOUBLE) AS bin_start_pct, CAST(b.e AS DOUBLE) AS bin_end_pct, count(pct) FILTER (clean) AS clean_auto_eligible_count, count(pct) AS all_candidate_count FROM (VALUES {_EDGES}) b(a, e) LEFT JOIN au ON pct >= b.a AND (pct < b.e OR (b.e = 100.0 AND pct = 100.0)) GROUP BY 1, 2",
     "audit_quality_bins": _AUDIT + f"SELECT b.l AS worst_quality_bin, count(pct) AS n_rows, count(*) FILTER (frac <= 0.10) AS distance_pct_le_10, count(*) FILTER (frac > 0.10 AND frac <= 0.25) AS distance_pct_10_to_25, count(*) FILTER (frac > 0.25) AS distance_pct_gt_25, round(median(pct), 5) AS median_distance_pct, round(median(gq), 8) AS median_gaia_quality, round(median(hq), 8) AS median_hip_quality FROM (VALUES {_QBINS}) b(a, e, l) LEFT JOIN au ON clean AND worst >= b.a AND worst < b.e GROUP BY 1",
     "audit_policies": _AUDIT + "SELECT p.policy, count(*) FILTER (p.lim >= 9 OR tight OR frac <= p.lim) AS matched_clean_count, count(*) FILTER (p.lim >= 9 OR tight OR frac <= p.lim) - count(*) AS delta_vs_broad_scan_policy, count(*) FILTER (NOT tight AND (p.lim >= 9 OR frac <= p.lim)) AS non_tight_added FROM (VALUES ('tight sky/mag only', -1.0), ('tight or distance <= 10%', 0.10), ('tight or distance <= 25%', 0.25), ('broad clean one-to-one', 9.0)) p(policy, lim) CROSS JOIN (SELECT * FROM au WHERE clean) GROUP BY 1",
-    "audit_quantiles": _AUDIT + "SELECT quantile, round(value, 5) AS value FROM (SELECT unnest([" + ", ".join(str(float(q)) for q in ma.QUANTILES) + "]) AS quantile, unnest(quantile_cont(pct, [" + ", ".join(str(float(q)) for q in ma.QUANTILES) + "])) AS value FROM au WHERE clean)",
+    "audit_quantiles": _AUDIT + "SELECT CAST(quantile AS DOUBLE) AS quantile, round(value, 5) AS value FROM (SELECT unnest([" + ", ".join(str(float(q)) for q in ma.QUANTILES) + "]) AS quantile, unnest(quantile_cont(pct, [" + ", ".join(str(float(q)) for q in ma.QUANTILES) + "])) AS value FROM au WHERE clean)",
     "audit_cdf": _AUDIT + ", t AS (SELECT decision, round(pct, 1) AS tenth, count(*) AS n FROM au GROUP BY ALL) SELECT decision, tenth, round(sum(n) OVER (PARTITION BY decision ORDER BY tenth) / sum(n) OVER (PARTITION BY decision), 6) AS cdf FROM t",
     "audit_categories": _AUDIT + "SELECT CASE WHEN over THEN 'overridden' WHEN conf THEN 'official conflict' WHEN NOT one THEN 'ambiguous' ELSE 'clean' END AS category, count(*) AS n, round(CASE WHEN count(*) > 1 THEN corr(log10(worst), log10(pct)) END, 5) AS log_correlation FROM au WHERE pct > 0 AND worst > 0 GROUP BY 1",
     "audit_supplemental": _AUDIT + "SELECT gid AS gaia_source_id, hid AS hip_source_id, 'local_close_pair_v1' AS mapping_source FROM au WHERE decision = 'auto_match'",

@@ -234,7 +234,7 @@ ORACLES = {
     "decision_counts": _evidence() + "SELECT decision, recommended_action, severity, count(*) AS n FROM ev GROUP BY ALL",
     "official_pairs": f"WITH {MAPS} SELECT gaia_source_id, hip_source_id, mapping_source, number_of_neighbours, round(CAST(angular_distance AS DOUBLE), 6) AS angular_distance FROM o",
     "supplemental_pairs": _evidence() + f"SELECT gaia_source_id, hip_source_id, mapping_source, CAST(number_of_neighbours AS SMALLINT) AS number_of_neighbours, round(CAST(angular_distance AS DOUBLE), 3) AS angular_distance FROM ({_SUPPLEMENT})",
-    "combined_pairs": _evidence() + f"SELECT * FROM ({_COMBINED})",
+    "combined_pairs": _evidence() + f"SELECT * REPLACE (CAST(number_of_neighbours AS SMALLINT) AS number_of_neighbours) FROM ({_COMBINED})",
     "repeated_map_ids": _evidence() + f", cm AS ({_COMBINED}) SELECT 'gaia' AS catalog_name, gaia_source_id AS source_id, count(*) AS n FROM cm GROUP BY 2 HAVING count(*) > 1 UNION ALL SELECT 'hip', hip_source_id, count(*) FROM cm GROUP BY 2 HAVING count(*) > 1",
     "official_recall": _evidence() + "SELECT CASE WHEN g.g IS NULL THEN 'no primary' WHEN h.mag IS NULL THEN 'no secondary' WHEN abs(g.g - h.mag) <= 0.5 THEN 'far, alike' ELSE 'far, unlike' END AS why, count(*) AS n FROM o LEFT JOIN g ON g.id = o.gaia_source_id LEFT JOIN h ON h.id = o.hip_source_id WHERE NOT EXISTS (FROM ev WHERE gid = o.gaia_source_id AND hid = o.hip_source_id) GROUP BY 1",
     "neighbourhood_overlap": _evidence() + "SELECT decision, recommended_action, innb AS in_official_neighbourhood, NOT innb AND anynb AS official_neighbourhood_conflict, count(*) AS n FROM ev GROUP BY ALL",

@@ -132,11 +132,11 @@ s4 AS (SELECT *, CASE WHEN ps >= 105 OR (NOT ha AND n >= 2 AND qs >= 15) THEN 'P
 """
 
 ORACLES = {
-    "cohort_rows": f"WITH {mq.SOURCES}, {_RANKED} SELECT cat AS catalog_name, id AS source_id, cohort, CAST(rk AS INTEGER) AS cohort_rank, flags AS quality_flags, CASE WHEN flags = '' THEN 0 ELSE length(flags) - length(replace(flags, ';', '')) + 1 END AS quality_flag_count, round(CASE WHEN plx > 0 THEN 1000.0 / plx END, 5) AS r_pc_parallax, round(abs(e_plx) / abs(nullif(plx, 0)), 5) AS parallax_frac_error FROM ranked",
-    "review_candidates": _CANDIDATES + "SELECT cat AS catalog_name, id AS source_id, cohorts, ranks AS cohort_ranks, flags AS quality_flags, nf AS quality_flag_count, oi AS official_ids, si AS supplemental_ids, ni AS official_neighbourhood_ids, ci AS counterpart_ids, ha AS has_any_gaia_hip_match FROM s4",
+    "cohort_rows": f"WITH {mq.SOURCES}, {_RANKED} SELECT cat AS catalog_name, id AS source_id, cohort, CAST(rk AS INTEGER) AS cohort_rank, flags AS quality_flags, CAST(CASE WHEN flags = '' THEN 0 ELSE length(flags) - length(replace(flags, ';', '')) + 1 END AS INTEGER) AS quality_flag_count, round(CASE WHEN plx > 0 THEN 1000.0 / plx END, 5) AS r_pc_parallax, round(abs(e_plx) / abs(nullif(plx, 0)), 5) AS parallax_frac_error FROM ranked",
+    "review_candidates": _CANDIDATES + "SELECT cat AS catalog_name, id AS source_id, cohorts, ranks AS cohort_ranks, flags AS quality_flags, CAST(nf AS INTEGER) AS quality_flag_count, oi AS official_ids, si AS supplemental_ids, ni AS official_neighbourhood_ids, ci AS counterpart_ids, ha AS has_any_gaia_hip_match FROM s4",
     "candidate_flag_counts": _CANDIDATES + "SELECT cat AS catalog_name, flag, count(*) AS n FROM (SELECT cat, unnest(string_split(flags, ';')) AS flag FROM cand) WHERE flag <> '' GROUP BY ALL",
     "candidate_links": f"WITH {mq.SOURCES}, {mq.MAPS}, {_RANKED} SELECT DISTINCT gaia_source_id, hip_source_id FROM o WHERE gaia_source_id IN (SELECT id FROM ranked WHERE cat = 'gaia') AND hip_source_id IN (SELECT id FROM ranked WHERE cat = 'hip')",
-    "priority_scores": _CANDIDATES + "SELECT CAST(pr AS INTEGER) AS priority_rank, ps AS priority_score, tier AS priority_tier, cat AS catalog_name, CAST(id AS VARCHAR) AS source_id, cohorts, ranks AS cohort_ranks, CAST(n AS INTEGER) AS cohort_count, cs AS cohort_score, vs AS visibility_score, CAST(qs AS DOUBLE) AS quality_score, gs AS crossmatch_gap_score, why AS priority_reasons, flags AS quality_flags, nf AS quality_flag_count, ho AS has_official_best_neighbour, hs AS has_fis_supplemental_match, ha AS has_any_gaia_hip_match, ni AS official_neighbourhood_ids, ci AS counterpart_ids, round(mag, 7) AS apparent_mag, round(r, 5) AS r_pc_parallax, round(pm, 5) AS pm_total_masyr FROM s4",
+    "priority_scores": _CANDIDATES + "SELECT CAST(pr AS INTEGER) AS priority_rank, ps AS priority_score, tier AS priority_tier, cat AS catalog_name, CAST(id AS VARCHAR) AS source_id, cohorts, ranks AS cohort_ranks, CAST(n AS INTEGER) AS cohort_count, cs AS cohort_score, vs AS visibility_score, CAST(qs AS DOUBLE) AS quality_score, gs AS crossmatch_gap_score, why AS priority_reasons, flags AS quality_flags, CAST(nf AS INTEGER) AS quality_flag_count, ho AS has_official_best_neighbour, hs AS has_fis_supplemental_match, ha AS has_any_gaia_hip_match, ni AS official_neighbourhood_ids, ci AS counterpart_ids, round(mag, 7) AS apparent_mag, round(r, 5) AS r_pc_parallax, round(pm, 5) AS pm_total_masyr FROM s4",
     "priority_tiers": _CANDIDATES + "SELECT cat AS catalog_name, tier AS priority_tier, count(*) AS n FROM s4 GROUP BY ALL",
-    "rescored_tiers": "SELECT priority_tier, count(*) AS n, round(sum(q), 3) AS quality_total FROM (SELECT review_id, any_value(priority_tier) AS priority_tier, least(30.0, any_value(list_sum(list_transform(string_split(quality_flags, ';'), lambda f: CASE f " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in sc.FLAG_WEIGHTS.items()) + " ELSE 0.0 END)))) AS q FROM review_scores WHERE regexp_matches(quality_flags, '^[a-z0-9_;]+$') GROUP BY 1) GROUP BY 1",
+    "rescored_tiers": "SELECT priority_tier, count(*) AS n, CAST(round(sum(q), 3) AS DOUBLE) AS quality_total FROM (SELECT review_id, any_value(priority_tier) AS priority_tier, least(30.0, any_value(list_sum(list_transform(string_split(quality_flags, ';'), lambda f: CASE f " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in sc.FLAG_WEIGHTS.items()) + " ELSE 0.0 END)))) AS q FROM review_scores WHERE regexp_matches(quality_flags, '^[a-z0-9_;]+$') GROUP BY 1) GROUP BY 1",
 }
