@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from starweave.session import materialise
 from starweave.sources.tables import table
 
 KEEP = ["mag", "quality_flags", "quality_flag_count", "pm_total_masyr", "r_pc_parallax", "parallax_frac_error"]
+#: Cohort size of the queries that have it in their SQL; the ``_whole`` ones take the operator's COHORT_SIZE.
 COHORT_ROWS = 60
 #: Cohorts of each catalogue: name, metric, ascending.
 SURVEY_COHORTS = (("brightest", "mag", True), ("nearest", "parallax", False))
@@ -33,52 +36,52 @@ def catalogue(spark: SparkSession, sf: str) -> DataFrame:
     return co.with_quality(latest_values(table(spark, sf, "raw_hip"), "hip", cols, "loaded_at"), co.catalogue_flags)
 
 
-def _cohorts(df: DataFrame, kinds) -> DataFrame:
+def _cohorts(df: DataFrame, kinds, size: int) -> DataFrame:
     out = None
     for name, metric, ascending in kinds:
         rows = df.where(F.col("parallax") > 0) if name == "nearest" else df
-        one = co.top_cohort(rows, name, metric, ascending, COHORT_ROWS)
+        one = co.top_cohort(rows, name, metric, ascending, size)
         out = one if out is None else out.unionByName(one, allowMissingColumns=True)
     return out
 
 
-def cohort_rows(spark: SparkSession, sf: str) -> DataFrame:
+def cohort_rows(spark: SparkSession, sf: str, size: int = COHORT_ROWS) -> DataFrame:
     """All cohorts of both catalogues with their ranks."""
-    parts = [_cohorts(survey(spark, sf), SURVEY_COHORTS).withColumn("catalog_name", F.lit("gaia")), _cohorts(catalogue(spark, sf), CATALOGUE_COHORTS).withColumn("catalog_name", F.lit("hip"))]
+    parts = [_cohorts(survey(spark, sf), SURVEY_COHORTS, size).withColumn("catalog_name", F.lit("gaia")), _cohorts(catalogue(spark, sf), CATALOGUE_COHORTS, size).withColumn("catalog_name", F.lit("hip"))]
     cols = ["catalog_name", F.col("id").alias("source_id"), "cohort", "cohort_rank", "quality_flags", "quality_flag_count", "r_pc_parallax", "parallax_frac_error"]
     return mq.rounded(parts[0].select(*cols).unionByName(parts[1].select(*cols)), 5)
 
 
-def _candidates(spark: SparkSession, sf: str) -> DataFrame:
+def _candidates(spark: SparkSession, sf: str, size: int) -> DataFrame:
     """Rolled-up candidates of both catalogues with their cross-match context."""
     official, near = mq.official(spark, sf), mq.neighbourhood(spark, sf)
     local = materialise(supplemental_map(mq.evidence(spark, sf)))
-    g, h = co.roll_up(_cohorts(survey(spark, sf), SURVEY_COHORTS), KEEP), co.roll_up(_cohorts(catalogue(spark, sf), CATALOGUE_COHORTS), KEEP)
+    g, h = co.roll_up(_cohorts(survey(spark, sf), SURVEY_COHORTS, size), KEEP), co.roll_up(_cohorts(catalogue(spark, sf), CATALOGUE_COHORTS, size), KEEP)
     g = co.with_context(g, "gaia_source_id", "hip_source_id", official, local, near).withColumn("catalog_name", F.lit("gaia"))
     h = co.with_context(h, "hip_source_id", "gaia_source_id", official, local, near).withColumn("catalog_name", F.lit("hip"))
     return g.unionByName(h)
 
 
-def review_candidates(spark: SparkSession, sf: str) -> DataFrame:
+def review_candidates(spark: SparkSession, sf: str, size: int = COHORT_ROWS) -> DataFrame:
     cols = ["catalog_name", F.col("id").alias("source_id"), "cohorts", "cohort_ranks", "quality_flags", "quality_flag_count", "official_ids", "supplemental_ids", "official_neighbourhood_ids", "counterpart_ids", "has_any_gaia_hip_match"]
-    return _candidates(spark, sf).select(*cols)
+    return _candidates(spark, sf, size).select(*cols)
 
 
-def candidate_flag_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return co.flag_counts(_candidates(spark, sf), ["catalog_name"])
+def candidate_flag_counts(spark: SparkSession, sf: str, size: int = COHORT_ROWS) -> DataFrame:
+    return co.flag_counts(_candidates(spark, sf, size), ["catalog_name"])
 
 
-def candidate_links(spark: SparkSession, sf: str) -> DataFrame:
+def candidate_links(spark: SparkSession, sf: str, size: int = COHORT_ROWS) -> DataFrame:
     """Official pairs with both ends among the candidates."""
-    return co.linked_pairs(mq.official(spark, sf), _cohorts(survey(spark, sf), SURVEY_COHORTS), _cohorts(catalogue(spark, sf), CATALOGUE_COHORTS))
+    return co.linked_pairs(mq.official(spark, sf), _cohorts(survey(spark, sf), SURVEY_COHORTS, size), _cohorts(catalogue(spark, sf), CATALOGUE_COHORTS, size))
 
 
-def priority_scores(spark: SparkSession, sf: str) -> DataFrame:
-    return mq.rounded(sc.score_candidates(_candidates(spark, sf)), 7, r_pc_parallax=5, pm_total_masyr=5)
+def priority_scores(spark: SparkSession, sf: str, size: int = COHORT_ROWS) -> DataFrame:
+    return mq.rounded(sc.score_candidates(_candidates(spark, sf, size)), 7, r_pc_parallax=5, pm_total_masyr=5)
 
 
-def priority_tiers(spark: SparkSession, sf: str) -> DataFrame:
-    return sc.score_candidates(_candidates(spark, sf)).groupBy("catalog_name", "priority_tier").agg(F.count(F.lit(1)).alias("n"))
+def priority_tiers(spark: SparkSession, sf: str, size: int = COHORT_ROWS) -> DataFrame:
+    return sc.score_candidates(_candidates(spark, sf, size)).groupBy("catalog_name", "priority_tier").agg(F.count(F.lit(1)).alias("n"))
 
 
 def rescored_tiers(spark: SparkSession, sf: str) -> DataFrame:
@@ -87,7 +90,9 @@ def rescored_tiers(spark: SparkSession, sf: str) -> DataFrame:
     return rows.groupBy("priority_tier").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(sc.quality_score(F.col("quality_flags"))), 3).alias("quality_total"))
 
 
-QUERIES = {f.__name__: f for f in (cohort_rows, review_candidates, candidate_flag_counts, candidate_links, priority_scores, priority_tiers, rescored_tiers)}
+SIZED = (cohort_rows, review_candidates, candidate_flag_counts, candidate_links, priority_scores, priority_tiers)
+QUERIES = {f.__name__: f for f in (*SIZED, rescored_tiers)}
+QUERIES |= {f"{f.__name__}_whole": partial(f, size=co.COHORT_SIZE) for f in SIZED}
 
 _N = COHORT_ROWS
 _FLAGS_G = "concat_ws(';', CASE WHEN abs(e_plx) / abs(nullif(plx, 0)) > 0.1 THEN 'parallax_frac_error_gt_0p1' END, CASE WHEN plx <= 0 THEN 'non_positive_parallax' END, CASE WHEN bp IS NULL OR rp IS NULL THEN 'missing_bp_or_rp' END)"
@@ -140,3 +145,4 @@ ORACLES = {
     "priority_tiers": _CANDIDATES + "SELECT cat AS catalog_name, tier AS priority_tier, count(*) AS n FROM s4 GROUP BY ALL",
     "rescored_tiers": "SELECT priority_tier, count(*) AS n, CAST(round(sum(q), 3) AS DOUBLE) AS quality_total FROM (SELECT review_id, any_value(priority_tier) AS priority_tier, least(30.0, any_value(list_sum(list_transform(string_split(quality_flags, ';'), lambda f: CASE f " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in sc.FLAG_WEIGHTS.items()) + " ELSE 0.0 END)))) AS q FROM review_scores WHERE regexp_matches(quality_flags, '^[a-z0-9_;]+$') GROUP BY 1) GROUP BY 1",
 }
+ORACLES |= {f"{f.__name__}_whole": ORACLES[f.__name__].replace(f"rk <= {_N}", f"rk <= {co.COHORT_SIZE}") for f in SIZED}

@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 from starweave.functions.numeric import parse_id
 from starweave.operators import cohorts as co
 from starweave.operators import scoring as sc
+from starweave.plans import review_queries
 from starweave.sources.sinks import write_csv, write_parquet, write_report
 from starweave.sources.tables import conform, read_ecsv, read_overrides, read_parquet_files
+from tests.conftest import DATA
 
 
 def test_top_cohort_ties_and_missing(spark):
@@ -82,3 +84,9 @@ def test_sinks(spark, tmp_path):
     assert json.loads((tmp_path / "r.json").read_text()) == {"a": [2], "b": 1}
     with pytest.raises(FileExistsError):
         write_report({}, str(tmp_path / "r.json"))
+
+
+def test_whole_cohorts_rank_up_to_cohort_size(spark):
+    had = {(r.catalog_name, r.cohort): r.n for r in review_queries.QUERIES["cohort_rows_whole"](spark, DATA).groupBy("catalog_name", "cohort").agg(F.max("cohort_rank").alias("n")).collect()}
+    bright = review_queries.survey(spark, DATA).where("mag IS NOT NULL").count()
+    assert bright > review_queries.COHORT_ROWS and had["gaia", "brightest"] == min(bright, co.COHORT_SIZE)
