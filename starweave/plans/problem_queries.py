@@ -20,8 +20,14 @@ def p1_found(spark: SparkSession, sf: str) -> DataFrame:
     return evidence.unionByName(scores)
 
 
+def p1_value_counts_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """How often each value stands in each of the four fields, and its first place."""
+    return p1_found(spark, sf).groupBy("table_name", "field_name", "item_value").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first_pos"))
+
+
 def p1_value_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return p1_found(spark, sf).groupBy("table_name", "field_name", "item_value").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first_pos")).where(F.col("field_name") != "counterpart_ids")
+    """The same without counterpart_ids."""
+    return p1_value_counts_whole(spark, sf).where(F.col("field_name") != "counterpart_ids")
 
 
 def _orphans(spark: SparkSession, sf: str) -> DataFrame:
@@ -62,7 +68,7 @@ def p4_near_counts(spark: SparkSession, sf: str) -> DataFrame:
     return _near(spark, sf).groupBy("hip_source_id").agg(F.count(F.lit(1)).alias("n_gaia"), F.round(F.min("sep_arcsec"), 4).alias("nearest_arcsec"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_value_counts, p3_found, p3_report, p4_found, p4_near_counts)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_value_counts, p1_value_counts_whole, p3_found, p3_report, p4_found, p4_near_counts)}
 
 _SPLIT = r"""
 SELECT table_name, record_id, field_name, CAST(pos AS INTEGER) AS pos,
@@ -115,3 +121,4 @@ ORACLES = {
     "p4_found": _NEAR + "SELECT hip_source_id, gaia_source_id FROM near WHERE sep <= 8",
     "p4_near_counts": _NEAR + "SELECT hip_source_id, count(*) AS n_gaia, round(min(sep), 4) AS nearest_arcsec FROM near WHERE sep <= 8 GROUP BY 1",
 }
+ORACLES["p1_value_counts_whole"] = f"SELECT table_name, field_name, item_value, count(*) AS n, min(pos) AS first_pos FROM ({_SPLIT}) GROUP BY ALL"

@@ -12,7 +12,9 @@ from starweave.operators import cohorts as co
 from starweave.operators import scoring as sc
 from starweave.operators.latest import latest_values
 from starweave.operators.maps import supplemental_map
+from starweave.operators.packed_fields import explode_packed_fields
 from starweave.plans import match_queries as mq
+from starweave.plans import problem_queries as pq
 from starweave.session import materialise
 from starweave.sources.tables import table
 
@@ -90,8 +92,18 @@ def rescored_tiers(spark: SparkSession, sf: str) -> DataFrame:
     return rows.groupBy("priority_tier").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(sc.quality_score(F.col("quality_flags"))), 3).alias("quality_total"))
 
 
+def rescored_tiers_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality scores from the recorded flags of every review, however they are packed, by tier."""
+    rows = table(spark, sf, "review_scores").dropDuplicates(["review_id"])
+    flags = explode_packed_fields(rows, "review_id", ["quality_flags"], "review_scores")
+    weights = F.create_map(*[F.lit(x) for pair in sc.FLAG_WEIGHTS.items() for x in pair])
+    points = flags.groupBy(F.col("record_id").alias("review_id")).agg(F.least(F.sum(F.coalesce(F.try_element_at(weights, F.col("item_value")), F.lit(0.0))), F.lit(sc.QUALITY_CAP)).alias("points"))
+    scored = rows.select("review_id", "priority_tier").join(points, "review_id", "left")
+    return scored.groupBy("priority_tier").agg(F.count(F.lit(1)).alias("n"), F.round(F.coalesce(F.sum("points"), F.lit(0.0)), 3).alias("quality_total"))
+
+
 SIZED = (cohort_rows, review_candidates, candidate_flag_counts, candidate_links, priority_scores, priority_tiers)
-QUERIES = {f.__name__: f for f in (*SIZED, rescored_tiers)}
+QUERIES = {f.__name__: f for f in (*SIZED, rescored_tiers, rescored_tiers_whole)}
 QUERIES |= {f"{f.__name__}_whole": partial(f, size=co.COHORT_SIZE) for f in SIZED}
 
 _N = COHORT_ROWS
@@ -146,3 +158,6 @@ ORACLES = {
     "rescored_tiers": "SELECT priority_tier, count(*) AS n, CAST(round(sum(q), 3) AS DOUBLE) AS quality_total FROM (SELECT review_id, any_value(priority_tier) AS priority_tier, least(30.0, any_value(list_sum(list_transform(string_split(quality_flags, ';'), lambda f: CASE f " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in sc.FLAG_WEIGHTS.items()) + " ELSE 0.0 END)))) AS q FROM review_scores WHERE regexp_matches(quality_flags, '^[a-z0-9_;]+$') GROUP BY 1) GROUP BY 1",
 }
 ORACLES |= {f"{f.__name__}_whole": ORACLES[f.__name__].replace(f"rk <= {_N}", f"rk <= {co.COHORT_SIZE}") for f in SIZED}
+ORACLES["rescored_tiers_whole"] = f"""SELECT priority_tier, count(*) AS n, CAST(round(coalesce(sum(q), 0), 3) AS DOUBLE) AS quality_total FROM (SELECT review_id, any_value(priority_tier) AS priority_tier FROM review_scores GROUP BY 1)
+  LEFT JOIN (SELECT record_id AS review_id, least(30.0, sum(CASE item_value {" ".join(f"WHEN '{k}' THEN {v}" for k, v in sc.FLAG_WEIGHTS.items())} ELSE 0.0 END)) AS q
+    FROM ({pq.ORACLES["p1_found"]}) WHERE field_name = 'quality_flags' GROUP BY 1) USING (review_id) GROUP BY 1"""

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 from starweave.functions.numeric import parse_id
 from starweave.operators import cohorts as co
 from starweave.operators import scoring as sc
-from starweave.plans import review_queries
+from starweave.plans import problem_queries, review_queries
 from starweave.sources.sinks import write_csv, write_parquet, write_report
-from starweave.sources.tables import conform, read_ecsv, read_overrides, read_parquet_files
+from starweave.sources.tables import conform, read_ecsv, read_overrides, read_parquet_files, table
 from tests.conftest import DATA
 
 
@@ -90,3 +90,10 @@ def test_whole_cohorts_rank_up_to_cohort_size(spark):
     had = {(r.catalog_name, r.cohort): r.n for r in review_queries.QUERIES["cohort_rows_whole"](spark, DATA).groupBy("catalog_name", "cohort").agg(F.max("cohort_rank").alias("n")).collect()}
     bright = review_queries.survey(spark, DATA).where("mag IS NOT NULL").count()
     assert bright > review_queries.COHORT_ROWS and had["gaia", "brightest"] == min(bright, co.COHORT_SIZE)
+
+
+def test_whole_queries_leave_no_record_or_field_out(spark):
+    tiers = review_queries.QUERIES["rescored_tiers_whole"](spark, DATA).agg(F.sum("n")).first()[0]
+    assert tiers == table(spark, DATA, "review_scores").select("review_id").distinct().count()
+    fields = problem_queries.QUERIES["p1_value_counts_whole"](spark, DATA).select("field_name").distinct().collect()
+    assert {r.field_name for r in fields} == {"reasons", "quality_flags", "cohort_ranks", "counterpart_ids"}
