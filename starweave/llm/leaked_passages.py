@@ -283,7 +283,9 @@ def best_passage(item: np.ndarray, doc: np.ndarray, p: int, j: int, least: int,
 
 
 def check_document(items: ItemSet, doc: np.ndarray, wanted: set[int], least: int, tolerance: int) -> Iterator[tuple[int, int, int, bool]]:
-    """(item, words, edits, has answer) for the wanted items that truly stand in the document."""
+    """(item, words, edits, has answer) for the wanted items that truly stand in the document.
+
+    Every common run is measured, as a longer passage may come later, until the item stands there whole and unedited."""
     hashes = run_hashes(doc, SEED)
     lo = np.searchsorted(items.run_hash, hashes, side="left")
     hi = np.searchsorted(items.run_hash, hashes, side="right")
@@ -296,9 +298,10 @@ def check_document(items: ItemSet, doc: np.ndarray, wanted: set[int], least: int
             diagonal = (item, p - j)
             follows = last.get(diagonal) == j - 1
             last[diagonal] = j
-            if item in wanted and not follows and item not in found:
+            if item in wanted and not follows and found.get(item) != (len(items.codes[item]), 0):
                 words, edits = best_passage(items.codes[item], doc, p, j, least, tolerance)
-                if words:
+                best = found.get(item, (0, 0))
+                if (words, -edits) > (best[0], -best[1]):
                     found[item] = (words, edits)
     for item, (words, edits) in found.items():
         tail = items.codes[item][-ANSWER_WORDS:]

@@ -114,3 +114,12 @@ def test_given_tables_against_shared_runs(spark):
         codes = np.array([held.vocabulary.get(w, -1) for w in lp.words_of(r.text)], np.int32)
         want |= {(held.ids[k], r.doc_id) for k, *_ in lp.check_document(held, codes, set(range(len(held.ids))), 30, 10)}
     assert {(r.item_id, r.doc_id) for r in queries.p7_found(spark, DATA).collect()} == want
+
+
+def test_the_longest_passage_of_a_document_counts(spark, corpus):
+    rng = random.Random(4)
+    item = [rng.choice(VOCAB) for _ in range(100)]
+    other = [f"other{i}" for i in range(50)]
+    docs = [(1, " ".join(item[:32] + other + item)), (2, " ".join(item[:35] + other + item[40:])), (3, " ".join(item[60:95] + other + edit(rng, item[:50], 2)))]
+    got = {r.doc_id: (r.passage_words, r.edits) for r in run(spark, corpus[1] + docs, [(7, " ".join(item))])}
+    assert got[1] == (100, 0) and got[2][0] >= 60 and got[3][0] >= 45
