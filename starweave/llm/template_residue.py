@@ -6,8 +6,8 @@ handle or explain such things (translations, tests, templates, manuals), from sa
 are tables over hashed n-grams of lower-case bytes with digits folded.
 
 Every byte of a text gets the log-likelihood ratio of each kind against natural text. In each line
-the window with the greatest sum is the likeliest piece of residue, unless the words beside or in it
-speak for handling by HANDLED_SUM or more in n-grams of at least HANDLED_LEAST. A window counts from
+the window with the greatest sum is the likeliest piece of residue, then the greatest of the rest and so
+on, unless the words beside or in it speak for handling by HANDLED_SUM or more in n-grams of at least HANDLED_LEAST. A window counts from
 STRONG on wherever it stands, and from WEAK on where such windows cover the share MOSTLY of the text. A document is excluded
 if its windows cover at least MIN_COVERAGE of its visible bytes.
 
@@ -17,6 +17,7 @@ repeated rows count once; an empty table gives an empty table; other columns are
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +39,7 @@ PART = 1 << 14
 PIECE, TEXTS_AT_ONCE = 240, 500
 #: Unseen natural n-grams assumed besides the corpus, so that a small corpus does not vouch for its own residue.
 PRIOR_GRAMS = 200_000
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES, OVERLAP = 1 << 20, 1 << 14
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[ord("A") : ord("Z") + 1] += 32
@@ -144,34 +145,83 @@ def best_windows(ratios: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.n
     return best, kind, begin, end
 
 
+def _peaks(llr: np.ndarray, at: int) -> list[tuple[float, int, int]]:
+    """(sum, begin, end) of the disjoint windows of WEAK or more of one kind; ``at`` is the place of the first value."""
+    out, todo = [], [(0, len(llr))]
+    while todo:
+        lo, hi = todo.pop()
+        total = np.cumsum(llr[lo:hi])
+        before = total - llr[lo:hi]
+        least = np.minimum.accumulate(before)
+        gain = total - least
+        first = np.flatnonzero(before <= least)
+        top = np.maximum.reduceat(gain, first)
+        for i in np.flatnonzero(top >= WEAK):
+            b, stop = int(first[i]), int(first[i + 1]) if i + 1 < len(first) else hi - lo
+            e = b + int(np.argmax(gain[b:stop])) + 1
+            out.append((float(top[i]), at + lo + b, at + lo + e))
+            if e < stop:
+                todo.append((lo + e, lo + stop))
+    return out
+
+
+def all_windows(ratios: np.ndarray, data: np.ndarray, taken: np.ndarray, limit: int) -> Iterator[tuple[float, int, int, int]]:
+    """(sum, kind, begin, end) of all disjoint windows of WEAK or more that begin before ``limit``, the
+    greatest of a line first. Bytes in ``taken`` are left out, and those of the windows are added to it."""
+    codes = gram_codes(data)
+    breaks = np.flatnonzero(data[GRAM - 1 : len(data)] == 10)
+    first = np.concatenate([[0], breaks[breaks < len(codes) - 1] + 1, [len(codes)]])
+    best, *_ = best_windows(ratios, data)
+    used = taken[: len(codes)]
+    for i in np.flatnonzero(best >= WEAK):
+        lo, hi = int(first[i]), int(first[i + 1])
+        queue = [(-total, k, b, e) for k in range(len(ratios)) for total, b, e in _peaks(ratios[k][codes[lo:hi]].astype(np.float64), lo)]
+        heapq.heapify(queue)
+        while queue:
+            total, k, b, e = heapq.heappop(queue)
+            if b >= limit:
+                continue
+            if used[b:e].any():
+                free = np.flatnonzero(np.diff(np.concatenate([[True], used[b:e], [True]]).astype(np.int8)))
+                for x, y in zip(free[::2].tolist(), free[1::2].tolist(), strict=True):
+                    for rest, c, d in _peaks(ratios[k][codes[b + x : b + y]].astype(np.float64), b + x):
+                        heapq.heappush(queue, (-rest, k, c, d))
+                continue
+            used[b:e] = True
+            yield -total, k, b, e - 1 + GRAM
+
+
 def judge(ratios: np.ndarray, text: bytes) -> tuple[float, float, int, bool] | None:
     """(strongest sum, coverage, its kind, is residue) of one text; None for a blank one."""
     data = np.frombuffer(b"\n" + text + b"\n", np.uint8)
-    visible = int(_VISIBLE[data].sum())
+    shown = _VISIBLE[data]
+    visible = int(shown.sum())
     if not visible or len(data) < GRAM:
         return None
-    strongest, kind, strong, weak = 0.0, 0, 0, 0
+    strongest, kind = 0.0, 0
+    taken, weak, strong = (np.zeros(len(data), bool) for _ in range(3))
     for lo in range(0, len(data), BLOCK_BYTES):
-        part = data[lo : lo + BLOCK_BYTES + GRAM - 1]
+        part = data[lo : lo + BLOCK_BYTES + OVERLAP]
         if len(part) < GRAM:
             break
-        best, kinds, begin, end = best_windows(ratios[:-1], part)
-        for i in np.flatnonzero(best >= WEAK):
-            left = max(int(begin[i]) - CONTEXT, 0)
-            around = bytes(part[left : end[i] + CONTEXT])
-            ahead = around.rfind(b"\n", 0, int(begin[i]) - left + 1)
-            behind = around.find(b"\n", int(end[i]) - left - 1)
+        limit = BLOCK_BYTES if lo + len(part) < len(data) else len(part)
+        for total, k, begin, end in all_windows(ratios[:-1], part, taken[lo : lo + len(part)], limit):
+            begin, end = lo + begin, lo + end
+            left = max(begin - CONTEXT, 0)
+            around = bytes(data[left : end + CONTEXT])
+            ahead = around.rfind(b"\n", 0, begin - left + 1)
+            behind = around.find(b"\n", end - left - 1)
             around = np.frombuffer(around[max(ahead, 0) : behind + 1 if behind >= 0 else None], np.uint8)
             handled = ratios[-1][gram_codes(around)]
             if handled[handled >= HANDLED_LEAST].sum() >= HANDLED_SUM:
                 continue
-            size = int(_VISIBLE[part[begin[i] : end[i]]].sum())
-            weak += size
-            strong += size * bool(best[i] >= STRONG)
-            if best[i] > strongest:
-                strongest, kind = float(best[i]), int(kinds[i])
-    covers, covers_weakly = strong / visible, weak / visible
-    residue = (strong > 0 and covers >= MIN_COVERAGE) or covers_weakly >= MOSTLY
+            weak[begin:end] = True
+            if total >= STRONG:
+                strong[begin:end] = True
+            if total > strongest:
+                strongest, kind = total, k
+    covers, covers_weakly = (int(shown[w].sum()) / visible for w in (strong, weak))
+    residue = (strong.any() and covers >= MIN_COVERAGE) or covers_weakly >= MOSTLY
     return strongest, max(covers, covers_weakly), kind, bool(residue)
 
 

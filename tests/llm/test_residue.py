@@ -54,3 +54,21 @@ def test_windows_equal_plain_search():
             llr = row[codes[line == i]].astype(float)
             want = max(want, *(llr[s:e].sum() for s in range(len(llr)) for e in range(s + 1, len(llr) + 1)), 0.0)
         assert (want < tr.WEAK and b == -np.inf) or abs(b - want) < 1e-3
+
+
+def test_every_window_of_a_line_is_judged(texts):
+    ratios = tr.ratios_of(tr.count_texts(texts))
+    handled, slot = FINE[0].replace("\n", " ") * 3, "# {{cookiecutter.project_name}} <short description> "
+    plain = CODE[3].replace("\n", " ") * 4
+    assert not tr.judge(ratios, (handled + plain).encode())[3]
+    assert tr.judge(ratios, (handled + plain + slot + plain).encode())[3]
+
+
+def test_windows_over_a_block_border(texts, monkeypatch):
+    ratios = tr.ratios_of(tr.count_texts(texts))
+    text = (CODE[3].replace("\n", " ") * 4 + "{{cookiecutter.project_name}} <short description> ").encode()
+    whole = tr.judge(ratios, text)
+    assert whole[3]
+    for size in range(len(text) - 60, len(text) - 5, 7):
+        monkeypatch.setattr(tr, "BLOCK_BYTES", size)
+        assert tr.judge(ratios, text) == whole
