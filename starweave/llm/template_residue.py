@@ -8,8 +8,9 @@ are tables over hashed n-grams of lower-case bytes with digits folded.
 Every byte of a text gets the log-likelihood ratio of each kind against natural text. In each line
 the window with the greatest sum is the likeliest piece of residue, then the greatest of the rest and so
 on, unless the words beside or in it speak for handling by HANDLED_SUM or more in n-grams of at least HANDLED_LEAST. A window counts from
-STRONG on wherever it stands, and from WEAK on where such windows cover the share MOSTLY of the text. A document is excluded
-if its windows cover at least MIN_COVERAGE of its visible bytes.
+STRONG on wherever it stands, and from WEAK on where such windows cover the share MOSTLY of the text. A strong
+window excludes its document if such windows cover at least MIN_COVERAGE of the visible bytes of its section, the
+SECTION bytes before and behind it, so the length of the rest of the text does not count.
 
 Defined results: NULL, empty and blank texts are no cases; whole texts are read, block by block;
 repeated rows count once; an empty table gives an empty table; other columns are ignored.
@@ -40,6 +41,7 @@ PIECE, TEXTS_AT_ONCE = 240, 500
 #: Unseen natural n-grams assumed besides the corpus, so that a small corpus does not vouch for its own residue.
 PRIOR_GRAMS = 200_000
 BLOCK_BYTES, OVERLAP = 1 << 20, 1 << 14
+SECTION = 1 << 10
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[ord("A") : ord("Z") + 1] += 32
@@ -198,7 +200,7 @@ def judge(ratios: np.ndarray, text: bytes) -> tuple[float, float, int, bool] | N
     visible = int(shown.sum())
     if not visible or len(data) < GRAM:
         return None
-    strongest, kind = 0.0, 0
+    strongest, kind, sections = 0.0, 0, []
     taken, weak, strong = (np.zeros(len(data), bool) for _ in range(3))
     for lo in range(0, len(data), BLOCK_BYTES):
         part = data[lo : lo + BLOCK_BYTES + OVERLAP]
@@ -218,10 +220,11 @@ def judge(ratios: np.ndarray, text: bytes) -> tuple[float, float, int, bool] | N
             weak[begin:end] = True
             if total >= STRONG:
                 strong[begin:end] = True
+                sections.append(slice(max(begin - SECTION, 0), end + SECTION))
             if total > strongest:
                 strongest, kind = total, k
     covers, covers_weakly = (int(shown[w].sum()) / visible for w in (strong, weak))
-    residue = (strong.any() and covers >= MIN_COVERAGE) or covers_weakly >= MOSTLY
+    residue = covers_weakly >= MOSTLY or any(shown[at][strong[at]].sum() >= MIN_COVERAGE * shown[at].sum() for at in sections)
     return strongest, max(covers, covers_weakly), kind, bool(residue)
 
 

@@ -72,3 +72,11 @@ def test_windows_over_a_block_border(texts, monkeypatch):
     for size in range(len(text) - 60, len(text) - 5, 7):
         monkeypatch.setattr(tr, "BLOCK_BYTES", size)
         assert tr.judge(ratios, text) == whole
+
+
+def test_length_of_the_rest_does_not_count(texts):
+    ratios = tr.ratios_of(tr.count_texts(texts))
+    slot = "\n\n# {{cookiecutter.project_name}}\n\n"
+    for rest in (CODE[3] * 10, CODE[3] * 2_000, CODE[3].replace("\n", " ") * 2_000):
+        assert tr.judge(ratios, (rest + slot + rest).encode())[3]
+        assert not tr.judge(ratios, (rest + rest).encode())[3]
