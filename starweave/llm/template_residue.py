@@ -1,7 +1,8 @@
 """Unfilled slots, filler, error pages and demands for scripts in place of content.
 
 Character n-gram models: one per kind of residue (slots, filler, notices and so on), fitted on the
-samples in ``residue_seeds``; one of natural text, the n-gram counts of all lines of the corpus; one of lines that only
+samples in ``residue_seeds``; one of natural text, the n-gram counts of the
+lines of the corpus, lines that differ in numbers and hashes only counted once; one of lines that only
 handle or explain such things (translations, tests, templates, manuals), from samples too. The models
 are tables over hashed n-grams of lower-case bytes with digits folded.
 
@@ -19,6 +20,7 @@ repeated rows count once; an empty table gives an empty table; other columns are
 from __future__ import annotations
 
 import heapq
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -85,6 +87,29 @@ def count_texts(texts: list[str]) -> np.ndarray:
     return total
 
 
+_NUMBERS = re.compile(r"\b(?=[a-f-]*[0-9])[0-9a-f-]+\b|[0-9]+")
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, piece) of the lines of texts, long ones in pieces, each key once in a few texts. The key is the lower-case
+    line with numbers and hexadecimal runs folded."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+            held: dict[str, str] = {}
+            for t in batch.column(0).slice(at, TEXTS_AT_ONCE).to_pylist():
+                for line in (t or "").split("\n"):
+                    for i in range(0, len(line), PIECE):
+                        piece = line[i : i + PIECE]
+                        held.setdefault(_NUMBERS.sub("0", piece.lower()), piece)
+            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.string())], ["key", "piece"])
+
+
+def distinct_lines(texts: DataFrame) -> DataFrame:
+    """(piece): one spelling of each line of the whole corpus."""
+    pieces = texts.mapInArrow(_pieces, "key string, piece string")
+    return pieces.groupBy(F.xxhash64("key").alias("key")).agg(F.min("piece").alias("piece")).select("piece")
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """n-gram counts of the texts of one task, in parts."""
     total = np.zeros(1 << TABLE_BITS, np.int64)
@@ -113,10 +138,10 @@ def ratios_of(corpus: np.ndarray) -> np.ndarray:
 
 
 def fit_ratios(texts: DataFrame) -> np.ndarray:
-    """``ratios_of`` with natural text counted over all of ``texts``."""
+    """``ratios_of`` with natural text counted over all distinct lines of ``texts``."""
     corpus = np.zeros(1 << TABLE_BITS)
     schema = "at int, part binary"
-    for r in texts.mapInArrow(_count, schema).groupBy("at").applyInArrow(_add, schema).collect():
+    for r in distinct_lines(texts).mapInArrow(_count, schema).groupBy("at").applyInArrow(_add, schema).collect():
         corpus[r["at"] : r["at"] + PART] = np.frombuffer(r.part, np.int64)
     return ratios_of(corpus)
 

@@ -80,3 +80,12 @@ def test_length_of_the_rest_does_not_count(texts):
     for rest in (CODE[3] * 10, CODE[3] * 2_000, CODE[3].replace("\n", " ") * 2_000):
         assert tr.judge(ratios, (rest + slot + rest).encode())[3]
         assert not tr.judge(ratios, (rest + rest).encode())[3]
+
+
+def test_varied_copies_of_a_page_are_no_natural_text(spark, texts):
+    rng = random.Random(6)
+    page = "Access denied. The download was stopped by the server. Request 7{:04x}.\n"
+    hot = [page.format(rng.getrandbits(16)) for _ in range(3_000)]
+    assert not tr.judge(tr.ratios_of(tr.count_texts(texts + hot)), hot[0].encode())[3]
+    rows = [(i, t) for i, t in enumerate(texts * 15)] + [(10_000 + i, t) for i, t in enumerate(hot)]
+    assert set(run(spark, rows)) == set(range(10_000, 13_000))
