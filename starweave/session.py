@@ -52,12 +52,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, *keys: str) -> DataFrame:
     """``df`` in at least as many partitions as there are cores, for costly work on few or small files.
 
-    Inputs with more splits than cores, which is any large table, are left as they are."""
+    Inputs with more splits than cores, which is any large table, are left as they are. Rows are placed by
+    the hash of ``keys``, so a repeated task sees the same rows."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
 
 
 def materialise(df: DataFrame) -> DataFrame:
