@@ -6,10 +6,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from starweave.functions.numeric import finite
+
 MAP_COLUMNS = {"gaia_source_id": "bigint", "hip_source_id": "bigint", "mapping_source": "string", "number_of_neighbours": "smallint", "angular_distance": "float"}
 #: The other naming a map may come with.
 OTHER_NAMES = {"source_id": "gaia_source_id", "original_ext_source_id": "hip_source_id"}
 LOCAL_SOURCE = "local_close_pair_v1"
+#: Fixed value: the source of a map that has the flag of the best-neighbour table.
+FLAG, FLAG_SOURCE = "xm_flag", "hipparcos2_best_neighbour"
+
+
+def inferred_source(df: DataFrame) -> str:
+    """The source of a map without source column: the best-neighbour table by its flag, else unknown."""
+    return FLAG_SOURCE if FLAG in {c.lower() for c in df.columns} else "unknown"
+
+
+def strict_ids(df: DataFrame) -> DataFrame:
+    """The rows themselves; reading them fails at an id that is no finite, positive, whole number."""
+    df = df.toDF(*[c.lower() for c in df.columns])
+    for name in (*OTHER_NAMES, *OTHER_NAMES.values()):
+        if name in df.columns:
+            text = F.col(name).cast("string")
+            value = text.try_cast("double")
+            number = F.coalesce(text.try_cast("bigint"), F.when(F.floor(value) == value, value.try_cast("bigint")))
+            unsound = F.when(finite(value) & (value > 0), F.lit("crossmatch contains fractional ids")).when(finite(value), F.lit("crossmatch contains non-positive ids")).otherwise(F.lit("crossmatch contains non-finite ids"))
+            df = df.withColumn(name, F.when(number > 0, number).otherwise(F.raise_error(unsound).cast("bigint")))
+    return df
 
 
 def normalise_map(df: DataFrame, default_source: str = "") -> DataFrame:

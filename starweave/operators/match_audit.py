@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -9,19 +11,43 @@ from pyspark.sql.window import Window
 from starweave.functions.geometry import apparent_magnitude, separation_3d_pc
 from starweave.functions.numeric import finite, finite_or_null
 from starweave.operators.cone_join import cone_pairs, with_unit_vector
-from starweave.operators.maps import partner_lookup
-from starweave.operators.match_evidence import with_counts
+from starweave.operators.match_evidence import facts_by_key
 from starweave.operators.rules import Rule, decide
+from starweave.operators.quantiles import quantiles_by
 from starweave.session import materialise
 
-MAX_SEP, MAX_MAG, AUTO_SEP, AUTO_MAG, AUTO_FRAC = 5.0, 0.5, 0.25, 0.25, 0.10
+
+@dataclass(frozen=True)
+class AuditLimits:
+    """Separation in arcsec and magnitude difference of a candidate, those of a tight one, and the relative distance
+    difference that diagnostics report."""
+
+    max_sep: float = 5.0
+    max_mag: float = 0.5
+    auto_sep: float = 0.25
+    auto_mag: float = 0.25
+    auto_frac: float = 0.10
+
+
+LIMITS = AuditLimits()
 #: Histogram edges in percent, quality bin edges, reported quantiles, override actions that count.
 HISTOGRAM_EDGES = (0, 1, 2, 3, 4, 5, 7.5, 10, 12.5, 15, 20, 25, 30, 40, 50, 75, 100)
 QUALITY_EDGES = (0, 0.01, 0.02, 0.05, 0.1, 0.2, 0.5, 1, 2, 5, 10)
 QUANTILES = (0, 0.01, 0.05, 0.10, 0.25, 0.50, 0.75, 0.90, 0.95, 0.99, 1.0)
 OVERRIDE_ACTIONS = ("replace", "drop", "add")
 #: Columns a processed source may lack; they are then NULL.
-PROCESSED = {"source_id": "bigint", "ra_deg": "double", "dec_deg": "double", "r_pc": "double", "mag_abs": "double", "astrometry_quality": "double", "photometry_quality": "double"}
+PROCESSED = {
+    "source_id": "bigint", "ra_deg": "double", "dec_deg": "double", "r_pc": "double", "mag_abs": "double", "astrometry_quality": "double", "photometry_quality": "double", "ruwe": "double", "phot_g_mean_mag": "double",
+    "sn": "double", "hpmag": "double",
+}
+#: The columns of the audit's evidence, in order.
+AUDIT_COLUMNS = (
+    "gaia_source_id", "hip_source_id", "decision", "recommended_action", "severity", "reasons", "separation_arcsec", "apparent_mag_delta", "distance_ratio", "distance_frac_diff", "gaia_ra_deg", "gaia_dec_deg", "hip_ra_deg", "hip_dec_deg",
+    "gaia_r_pc", "hip_r_pc", "gaia_mag_abs", "hip_mag_abs", "gaia_apparent_mag", "hip_apparent_mag", "gaia_astrometry_quality", "hip_astrometry_quality", "gaia_photometry_quality", "hip_photometry_quality", "gaia_ruwe",
+    "gaia_phot_g_mean_mag", "hip_solution_type", "hip_hpmag", "gaia_has_official_map", "hip_has_official_map", "official_conflict", "gaia_official_hip_source_id", "hip_official_gaia_source_id", "gaia_candidate_count",
+    "hip_candidate_count", "one_to_one", "within_auto_thresholds", "within_distance_threshold", "overridden",
+)
+AUDIT_IDS = ("gaia_source_id", "hip_source_id", "gaia_official_hip_source_id", "hip_official_gaia_source_id")
 
 
 def processed_sources(df: DataFrame, role: str) -> DataFrame:
@@ -33,30 +59,29 @@ def processed_sources(df: DataFrame, role: str) -> DataFrame:
     return with_unit_vector(rows.where(finite("mag")), "ra_deg", "dec_deg")
 
 
-def match_audit(gaia: DataFrame, hip: DataFrame, official: DataFrame, override_keys: DataFrame) -> DataFrame:
-    """Pairs close in place and magnitude that the official map does not have, with decision.
+def match_audit(gaia: DataFrame, hip: DataFrame, official: DataFrame, override_keys: DataFrame, limits: AuditLimits = LIMITS) -> DataFrame:
+    """Pairs close in place and magnitude that the official map does not have, with decision: AUDIT_COLUMNS, ids as numbers.
 
     ``override_keys``: (catalog_name, source_id). A side that is mapped at all is a conflict here."""
-    carried = ("r_pc", "mag_abs", "mag", "astrometry_quality", "photometry_quality")
-    side = lambda df, p, key: df.select(F.col("id").alias(key), "x", "y", "z", *[F.col(c).alias(f"{p}_{c}") for c in carried])
-    rows = cone_pairs(side(gaia, "gaia", "id"), side(hip, "hip", "id2"), MAX_SEP)
-    rows = rows.withColumn("apparent_mag_delta", F.abs(F.col("gaia_mag") - F.col("hip_mag"))).where(F.col("apparent_mag_delta") <= MAX_MAG)
-    known = official.select(F.col("gaia_source_id").alias("id"), F.col("hip_source_id").alias("id2")).distinct()
-    kept = materialise(rows.join(known, ["id", "id2"], "left_anti"))
-    rows = with_counts(kept, kept, {"id": "gaia_candidate_count", "id2": "hip_candidate_count"})
-    rows = rows.join(partner_lookup(official, "gaia_source_id", "hip_source_id", "gaia_official").withColumnRenamed("gaia_source_id", "id"), "id", "left")
-    rows = rows.join(partner_lookup(official, "hip_source_id", "gaia_source_id", "hip_official").withColumnRenamed("hip_source_id", "id2"), "id2", "left")
-    for name, key in (("gaia", "id"), ("hip", "id2")):
-        keys = override_keys.where(F.col("catalog_name") == name).select(F.col("source_id").alias(key)).distinct().withColumn(f"{name}_over", F.lit(True))
-        rows = rows.join(keys, key, "left")
+    carried = {"ra_deg": "ra_deg", "dec_deg": "dec_deg", "r_pc": "r_pc", "mag_abs": "mag_abs", "mag": "apparent_mag", "astrometry_quality": "astrometry_quality", "photometry_quality": "photometry_quality"}
+    own = {"gaia": {"ruwe": "ruwe", "phot_g_mean_mag": "phot_g_mean_mag"}, "hip": {"sn": "solution_type", "hpmag": "hpmag"}}
+    side = lambda df, p, key: df.select(F.col("id").alias(key), "x", "y", "z", *[F.col(c).alias(f"{p}_{n}") for c, n in (carried | own[p]).items()])
+    rows = cone_pairs(side(gaia, "gaia", "id"), side(hip, "hip", "id2"), limits.max_sep)
+    rows = rows.withColumn("apparent_mag_delta", F.abs(F.col("gaia_apparent_mag") - F.col("hip_apparent_mag"))).where(F.col("apparent_mag_delta") <= limits.max_mag)
+    g, h = F.col("gaia_source_id"), F.col("hip_source_id")
+    kept = materialise(rows.join(official.select(g.alias("id"), h.alias("id2")).distinct(), ["id", "id2"], "left_anti"))
+    over = {name: override_keys.where(F.col("catalog_name") == name).select("source_id") for name in ("gaia", "hip")}
+    by_g = facts_by_key(kept, "id", {"gaia_candidate_count": F.lit(True)}, official.select(g, h), "gaia_official_hip_source_id", {"gaia_over": over["gaia"]})
+    by_h = facts_by_key(kept, "id2", {"hip_candidate_count": F.lit(True)}, official.select(h, g), "hip_official_gaia_source_id", {"hip_over": over["hip"]})
+    rows = kept.join(by_g, "id").join(by_h, "id2")
     c, no = F.col, F.lit(False)
     greater, less = F.greatest("gaia_r_pc", "hip_r_pc"), F.least("gaia_r_pc", "hip_r_pc")
     rows = rows.withColumns({
         "separation_arcsec": c("sep_arcsec"), "distance_ratio": greater / less, "distance_frac_diff": F.abs(c("gaia_r_pc") - c("hip_r_pc")) / greater,
-        "one_to_one": (c("gaia_candidate_count") == 1) & (c("hip_candidate_count") == 1), "official_conflict": c("gaia_official").isNotNull() | c("hip_official").isNotNull(),
-        "overridden": F.coalesce("gaia_over", no) | F.coalesce("hip_over", no), "within_auto_thresholds": (c("sep_arcsec") <= AUTO_SEP) & (c("apparent_mag_delta") <= AUTO_MAG),
+        "one_to_one": (c("gaia_candidate_count") == 1) & (c("hip_candidate_count") == 1), "gaia_has_official_map": c("gaia_official_hip_source_id").isNotNull(), "hip_has_official_map": c("hip_official_gaia_source_id").isNotNull(),
+        "overridden": c("gaia_over") | c("hip_over"), "within_auto_thresholds": (c("sep_arcsec") <= limits.auto_sep) & (c("apparent_mag_delta") <= limits.auto_mag),
     })
-    rows = rows.withColumn("within_distance_threshold", F.coalesce(c("distance_frac_diff") <= AUTO_FRAC, no))
+    rows = rows.withColumns({"official_conflict": c("gaia_has_official_map") | c("hip_has_official_map"), "within_distance_threshold": F.coalesce(c("distance_frac_diff") <= limits.auto_frac, no)})
     clean = "clean_one_to_one_broad_scan_match"
     rules = [
         Rule(c("overridden"), "manual_review", "inspect_override_interaction", "high", ("manual_override_present",)),
@@ -67,7 +92,12 @@ def match_audit(gaia: DataFrame, hip: DataFrame, official: DataFrame, override_k
         Rule(F.lit(True), "auto_match", "add_supplemental_crossmatch", "medium", (clean, "distance_unavailable_not_vetoed")),
     ]
     decided = decide(rules, [F.lit("close_cross_catalog_position"), F.lit("similar_apparent_magnitude")])
-    return rows.withColumns({**decided, "gaia_source_id": c("id"), "hip_source_id": c("id2")}).drop("id", "id2", "sep_arcsec", "gaia_over", "hip_over")
+    return rows.withColumns({**decided, "gaia_source_id": c("id"), "hip_source_id": c("id2")}).select(*AUDIT_COLUMNS)
+
+
+def with_text_ids(evidence: DataFrame) -> DataFrame:
+    """Evidence as it is published: ids as text, which no reader rounds."""
+    return evidence.withColumns({n: F.col(n).cast("string") for n in AUDIT_IDS})
 
 
 def diagnostics(evidence: DataFrame) -> DataFrame:
@@ -103,17 +133,18 @@ def distance_histogram(rows: DataFrame, edges: tuple[float, ...] = HISTOGRAM_EDG
 def quality_summary(rows: DataFrame, edges: tuple[float, ...] = QUALITY_EDGES) -> DataFrame:
     """Counts and medians by the worse of both qualities; the last bin is open, empty bins have NULL medians."""
     f = F.col("distance_frac_diff")
-    counts = rows.where("is_clean").groupBy(bin_of(F.col("worst_quality"), edges, False).alias("bin")).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(f <= 0.10).alias("le10"), F.count_if((f > 0.10) & (f <= 0.25)).alias("le25"), F.count_if(f > 0.25).alias("gt25"),
-        F.median("distance_pct_diff").alias("median_distance_pct"), F.median(finite_or_null("gaia_astrometry_quality")).alias("median_gaia_quality"), F.median(finite_or_null("hip_astrometry_quality")).alias("median_hip_quality"),
-    )
+    clean = rows.where("is_clean").withColumn("bin", bin_of(F.col("worst_quality"), edges, False))
+    counts = clean.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.count_if(f <= 0.10).alias("le10"), F.count_if((f > 0.10) & (f <= 0.25)).alias("le25"), F.count_if(f > 0.25).alias("gt25"))
+    medians = quantiles_by(clean, ["bin"], {"median_distance_pct": F.col("distance_pct_diff"), "median_gaia_quality": F.col("gaia_astrometry_quality"), "median_hip_quality": F.col("hip_astrometry_quality")}, (0.5,))
+    one = lambda n: F.max(F.when(F.col("measure") == n, F.col("value"))).alias(n)
+    counts = counts.join(medians.groupBy("bin").agg(*map(one, ("median_distance_pct", "median_gaia_quality", "median_hip_quality"))), "bin", "left")
     labels = [f"{a:g}-{b:g}" for a, b in zip(edges[:-1], edges[1:], strict=True)] + [f">={edges[-1]:g}"]
     out = _with_all_bins(counts, list(enumerate(labels)), "bin int, worst_quality_bin string")
     zero = F.lit(0)
     return out.select("worst_quality_bin", *[F.coalesce(c, zero).alias(n) for c, n in (("n", "n_rows"), ("le10", "distance_pct_le_10"), ("le25", "distance_pct_10_to_25"), ("gt25", "distance_pct_gt_25"))], "median_distance_pct", "median_gaia_quality", "median_hip_quality")
 
 
-def policy_table(rows: DataFrame, frac: float = AUTO_FRAC) -> DataFrame:
+def policy_table(rows: DataFrame, frac: float = LIMITS.auto_frac) -> DataFrame:
     """What each acceptance policy would match among clean rows: one pass, one row per policy."""
     tight, far = F.col("within_auto_thresholds"), F.col("distance_frac_diff")
     policies = {"tight sky/mag only": tight, f"tight or distance <= {frac:.0%}": tight | (far <= frac), "tight or distance <= 25%": tight | (far <= 0.25), "broad clean one-to-one": F.lit(True)}
@@ -124,8 +155,9 @@ def policy_table(rows: DataFrame, frac: float = AUTO_FRAC) -> DataFrame:
 
 def exact_quantiles(rows: DataFrame, column: str, at: tuple[float, ...] = QUANTILES) -> DataFrame:
     """(quantile, value), linear between ranks, over finite values; NULL where there are none."""
-    one = rows.agg(F.percentile(finite_or_null(column), F.array(*[F.lit(float(q)) for q in at])).alias("v"))
-    return one.select(F.explode(F.arrays_zip(F.array(*[F.lit(float(q)) for q in at]).alias("quantile"), F.coalesce("v", F.array_repeat(F.lit(None).cast("double"), len(at))).alias("value"))).alias("z")).select("z.quantile", "z.value")
+    found = quantiles_by(rows, [], {column: F.col(column)}, at)
+    asked = rows.sparkSession.createDataFrame([(float(q),) for q in at], "quantile double")
+    return asked.join(found.select("quantile", "value"), "quantile", "left")
 
 
 def empirical_cdf(rows: DataFrame, column: str, by: str) -> DataFrame:

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starweave.functions import geometry as geo
 from starweave.functions.numeric import finite, finite_or_null
 from starweave.operators.cone_join import cone_pairs, with_unit_vector
 from starweave.operators.latest import latest_values
-from starweave.operators.maps import partner_lookup
 from starweave.operators.rules import Rule, decide
 from starweave.session import materialise
 
@@ -37,31 +36,39 @@ def secondary_sources(df: DataFrame, years: float = geo.EPOCH_PRIMARY - geo.EPOC
     return with_unit_vector(rows.withColumns({"ra": ra, "dec": dec, "ra0": F.pmod("ra0", F.lit(360.0))}), "ra", "dec")
 
 
-def with_counts(rows: DataFrame, pairs: DataFrame, names: dict[str, str]) -> DataFrame:
-    """``rows`` with, per key column, the number of ``pairs`` of its key; partial counts before the exchange."""
-    for key, name in names.items():
-        rows = rows.join(pairs.groupBy(key).agg(F.count(F.lit(1)).cast("int").alias(name)), key)
-    return rows
+def facts_by_key(pairs: DataFrame, key: str, counted: dict[str, Column], partners: DataFrame, partner: str, marks: dict[str, DataFrame]) -> DataFrame:
+    """(key, counts, partner, marks): all that is known of the keys of ``pairs``, in one aggregation.
 
+    ``counted``: names of counts and which pairs they count. ``partners``: (key, value), of several values the greatest
+    stays. ``marks``: names of flags and the keys that have them."""
+    null = lambda kind: F.lit(None).cast(kind)
+    parts = [pairs.select(key, *[F.when(cond, 1).otherwise(0).alias(n) for n, cond in counted.items()])]
+    parts.append(partners.toDF(key, "_partner"))
+    parts += [keys.toDF(key).withColumn(n, F.lit(True)) for n, keys in marks.items()]
+    rows = parts[0].withColumn("_here", F.lit(True))
+    for part in parts[1:]:
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    found = rows.groupBy(key).agg(F.max("_here").alias("_here"), *[F.sum(n).cast("int").alias(n) for n in counted], F.max("_partner").alias(partner), *[F.coalesce(F.max(n) if n in rows.columns else null("boolean"), F.lit(False)).alias(n) for n in marks])
+    return found.where("_here").drop("_here")
 
-def candidate_pairs(gaia: DataFrame, hip: DataFrame, max_sep: float, max_mag_delta: float | None) -> DataFrame:
-    """Pairs with all measures of both sides; sky counts before the magnitude gate, candidate counts after it.
 
-    The join's pairs are written once, as they are read for each count."""
+def candidate_pairs(gaia: DataFrame, hip: DataFrame, official: DataFrame, neighbourhood: DataFrame, max_sep: float, max_mag_delta: float | None) -> DataFrame:
+    """Pairs with all measures of both sides, counts and official evidence; sky counts are taken before the magnitude gate,
+    candidate counts after it.
+
+    The join's pairs are written once, as they are read for the facts of either key; the wide rows move once per key."""
     names = {"ra": "gaia_ra_deg", "dec": "gaia_dec_deg", "g": "gaia_apparent_mag", "bp": "gaia_phot_bp_mean_mag", "rp": "gaia_phot_rp_mean_mag", "plx": "gaia_plx_mas", "e_plx": "gaia_e_plx_mas"}
     names2 = {
         "id": "id2", "ra": "hip_ra_deg", "dec": "hip_dec_deg", "ra0": "hip_ra_deg_epoch1991", "dec0": "hip_dec_deg_epoch1991", "mag": "hip_apparent_mag", "plx": "hip_plx_mas", "e_plx": "hip_e_plx_mas",
         "pmra": "hip_pmra_masyr", "pmdec": "hip_pmdec_masyr", "sn": "hip_solution_type",
     }
-    near = kept = materialise(cone_pairs(gaia.withColumnsRenamed(names), hip.drop("bv").withColumnsRenamed(names2), max_sep))
-    if max_mag_delta is not None:
-        kept = near.where(F.abs(F.col("hip_apparent_mag") - F.col("gaia_apparent_mag")) <= max_mag_delta)
-    rows = with_counts(kept, near, {"id": "gaia_sky_neighbour_count", "id2": "hip_sky_neighbour_count"})
-    if max_mag_delta is None:
-        rows = rows.withColumns({"gaia_candidate_count": F.col("gaia_sky_neighbour_count"), "hip_candidate_count": F.col("hip_sky_neighbour_count")})
-    else:
-        rows = with_counts(rows, kept, {"id": "gaia_candidate_count", "id2": "hip_candidate_count"})
-    rows = rows.withColumnRenamed("sep_arcsec", "separation_arcsec")
+    near = materialise(cone_pairs(gaia.withColumnsRenamed(names), hip.drop("bv").withColumnsRenamed(names2), max_sep))
+    alike = F.lit(True) if max_mag_delta is None else F.abs(F.col("hip_apparent_mag") - F.col("gaia_apparent_mag")) <= max_mag_delta
+    g, h = F.col("gaia_source_id"), F.col("hip_source_id")
+    by_g = facts_by_key(near, "id", {"gaia_sky_neighbour_count": F.lit(True), "gaia_candidate_count": alike}, official.select(g, h), "gaia_official_hip_source_id", {"near_g": neighbourhood.select(g)})
+    by_h = facts_by_key(near, "id2", {"hip_sky_neighbour_count": F.lit(True), "hip_candidate_count": alike}, official.select(h, g), "hip_official_gaia_source_id", {"near_h": neighbourhood.select(h)})
+    by_pair = neighbourhood.select(g.alias("id"), h.alias("id2")).distinct().withColumn("near_pair", F.lit(True))
+    rows = near.where(alike).join(by_g, "id").join(by_h, "id2").join(by_pair, ["id", "id2"], "left").withColumnRenamed("sep_arcsec", "separation_arcsec")
     c = F.col
     rows = rows.withColumns({
         "apparent_mag_delta": F.abs(c("hip_apparent_mag") - c("gaia_apparent_mag")),
@@ -73,20 +80,14 @@ def candidate_pairs(gaia: DataFrame, hip: DataFrame, max_sep: float, max_mag_del
     return rows.withColumn("rendered_3d_separation_pc", geo.separation_3d_pc(c("gaia_r_pc"), c("hip_r_pc"), c("separation_arcsec")))
 
 
-def with_official_evidence(rows: DataFrame, official: DataFrame, neighbourhood: DataFrame) -> DataFrame:
-    """Partners in the official map per direction, agreement, conflict, and neighbourhood marks."""
-    g2h = partner_lookup(official, "gaia_source_id", "hip_source_id", "gaia_official_hip_source_id").withColumnRenamed("gaia_source_id", "id")
-    h2g = partner_lookup(official, "hip_source_id", "gaia_source_id", "hip_official_gaia_source_id").withColumnRenamed("hip_source_id", "id2")
-    near = neighbourhood.select(F.col("gaia_source_id").alias("id"), F.col("hip_source_id").alias("id2")).distinct()
-    mark = lambda keys, name: near.select(*keys).distinct().withColumn(name, F.lit(True))
-    rows = rows.join(g2h, "id", "left").join(h2g, "id2", "left")
-    rows = rows.join(mark(["id", "id2"], "near_pair"), ["id", "id2"], "left").join(mark(["id"], "near_g"), "id", "left").join(mark(["id2"], "near_h"), "id2", "left")
+def with_official_evidence(rows: DataFrame) -> DataFrame:
+    """Agreement and conflict with the official map, and with the neighbourhood."""
     no, c = F.lit(False), F.col
     agrees_g, agrees_h = c("gaia_official_hip_source_id") == c("id2"), c("hip_official_gaia_source_id") == c("id")
     return rows.withColumns({
         "gaia_has_official_map": c("gaia_official_hip_source_id").isNotNull(), "hip_has_official_map": c("hip_official_gaia_source_id").isNotNull(),
         "official_pair": F.coalesce(agrees_g & agrees_h, no), "official_conflict": F.coalesce(~agrees_g, no) | F.coalesce(~agrees_h, no),
-        "in_official_neighbourhood": c("near_pair").isNotNull(), "official_neighbourhood_conflict": c("near_pair").isNull() & (c("near_g").isNotNull() | c("near_h").isNotNull()),
+        "in_official_neighbourhood": c("near_pair").isNotNull(), "official_neighbourhood_conflict": c("near_pair").isNull() & (c("near_g") | c("near_h")),
     }).drop("near_pair", "near_g", "near_h")
 
 
@@ -94,7 +95,7 @@ def raw_match_evidence(gaia: DataFrame, hip: DataFrame, official: DataFrame, nei
     """One row per pair within ``max_sep`` with the 47 evidence columns.
 
     ``gaia`` and ``hip`` as of ``primary_sources`` and ``secondary_sources``; the maps as of ``normalise_map``."""
-    rows = with_official_evidence(candidate_pairs(gaia, hip, max_sep, max_mag_delta), official, neighbourhood)
+    rows = with_official_evidence(candidate_pairs(gaia, hip, official, neighbourhood, max_sep, max_mag_delta))
     c, no = F.col, F.lit(False)
     rows = rows.withColumns({
         "one_to_one_candidate": (c("gaia_candidate_count") == 1) & (c("hip_candidate_count") == 1),
@@ -124,6 +125,7 @@ def raw_match_evidence(gaia: DataFrame, hip: DataFrame, official: DataFrame, nei
     return named.select(*EVIDENCE_COLUMNS)
 
 
+#: The columns of the evidence, in order.
 EVIDENCE_COLUMNS = (
     "gaia_source_id", "hip_source_id", "decision", "recommended_action", "severity", "reasons", "separation_arcsec", "apparent_mag_delta", "gaia_ra_deg", "gaia_dec_deg", "hip_ra_deg", "hip_dec_deg",
     "hip_ra_deg_epoch1991", "hip_dec_deg_epoch1991", "gaia_apparent_mag", "hip_apparent_mag", "gaia_phot_bp_mean_mag", "gaia_phot_rp_mean_mag", "gaia_bp_rp", "gaia_plx_mas", "gaia_e_plx_mas", "gaia_r_pc",

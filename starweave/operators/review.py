@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from starweave.functions.healpix import nested_cell
 from starweave.functions.numeric import finite
 from starweave.sources.tables import conform
 
+#: The columns of the review table and of the manual queue, in order.
 REVIEW = {"source": "string", "source_id": "string", "issue_type": "string", "severity": "string", "display_action": "string", "linked_source": "string", "linked_source_id": "string", "reasons": "string", "ra_deg": "double", "dec_deg": "double", "r_pc": "double", "mag_abs": "double", "separation_arcsec": "double", "apparent_mag_delta": "double"}
 MANUAL = {
     "issue_type": "string", "severity": "string", "recommended_action": "string", "reasons": "string", "source": "string", "source_id": "string", "gaia_source_id": "string", "hip_source_id": "string", "label": "string",
@@ -48,8 +49,9 @@ def manual_queue(evidence: DataFrame, issues: DataFrame) -> DataFrame:
     return both.orderBy(*[F.col(c).asc_nulls_last() for c in ("severity", "issue_type", "source", "source_id", "gaia_source_id")])
 
 
-def write_sidecar(rows: DataFrame, folder: str, order: int) -> int:
-    """Rows with a place, in one folder per HEALPix cell; the number of rows written."""
-    placed = rows.where(finite("ra_deg") & finite("dec_deg")).withColumn("hpx", nested_cell(F.col("ra_deg"), F.col("dec_deg"), order))
-    placed.repartition("hpx").write.mode("errorifexists").option("compression", "zstd").partitionBy("hpx").parquet(folder)
-    return placed.count()
+def write_sidecar(rows: DataFrame, folder: str, order: int, overwrite: bool = False) -> int:
+    """Rows with a place, in one folder per HEALPix cell; the number of rows written, counted as they pass."""
+    seen = Observation()
+    placed = rows.where(finite("ra_deg") & finite("dec_deg")).withColumn("hpx", nested_cell(F.col("ra_deg"), F.col("dec_deg"), order)).observe(seen, F.count(F.lit(1)).alias("n"))
+    placed.repartition("hpx").write.mode("overwrite" if overwrite else "errorifexists").option("compression", "zstd").partitionBy("hpx").parquet(folder)
+    return seen.get["n"]

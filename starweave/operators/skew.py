@@ -2,33 +2,30 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A key counts as hot from this share of all rows; hence at most 1 / HOT_SHARE keys are hot, which bounds what the driver sees.
-HOT_SHARE = 1 / 256
+#: A key with more rows than this is split over salts of about so many rows.
+SALT_ROWS = 50_000
 
 
-def hot_keys(counts: DataFrame, key: str, n: str, share: float = HOT_SHARE, least: int = 50_000) -> dict:
-    """The keys with at least ``share`` of all rows (and ``least`` rows), with their counts.
+def hot_salts(counts: DataFrame, key: str, n: str, rows: int = SALT_ROWS) -> DataFrame:
+    """(key, salts) of the keys with more than ``rows`` rows: how many salts of about ``rows`` rows each needs.
 
-    ``counts`` has one row per key. The result has at most ``1 / share`` entries whatever the data."""
-    total = counts.agg(F.sum(n).alias("total")).first()["total"] or 0
-    limit = max(least, math.ceil(total * share))
-    return {r[key]: r[n] for r in counts.where(F.col(n) >= limit).select(key, n).collect()}
+    ``counts`` has one row per key. There is at most one such key in ``rows`` rows, so the table is small beside the data,
+    but not bounded: it is joined, never collected."""
+    return counts.where(F.col(n) > rows).select(key, batch_count(F.col(n), rows).alias("salts"))
 
 
-def join_hot(big: DataFrame, small: DataFrame, key: str, hot: dict, spread: int = 32, salt_by: str | None = None) -> DataFrame:
-    """Inner join of ``big`` with ``small`` (one row per key): rows of a hot key are spread over
-    ``spread`` salts, and only the few hot rows of ``small`` are repeated. Without hot keys it is a plain join."""
-    if not hot:
+def join_hot(big: DataFrame, small: DataFrame, key: str, hot: DataFrame | None, salt_by: str | None = None) -> DataFrame:
+    """Inner join of ``big`` with ``small`` (one row per key): the rows of a hot key are spread over its
+    salts, and only the hot rows of ``small`` are repeated. ``hot``: see ``hot_salts``, None if no key is hot; Catalyst broadcasts it if it is small."""
+    if hot is None:
         return big.join(small, key)
-    is_hot = F.col(key).isin(list(hot))
     source = F.xxhash64(*([salt_by] if salt_by else [c for c in big.columns if c != key] or [key]))
-    salted = big.withColumn("_salt", F.when(is_hot, F.pmod(source, F.lit(spread)).cast("int")).otherwise(F.lit(0)))
-    copies = small.withColumn("_salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(F.array(F.lit(0)))))
+    salts = F.coalesce("salts", F.lit(1))
+    salted = big.join(hot, key, "left").withColumn("_salt", F.pmod(source, salts).cast("int")).drop("salts")
+    copies = small.join(hot, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts")
     return salted.join(copies, [key, "_salt"]).drop("_salt")
 
 

@@ -10,7 +10,9 @@ Inside a leaf an R-tree is bulk-loaded over the base points (sort-tile-recursive
 caps at once, level by level; survivors are refined by their exact chord. A pair is reported only by
 the leaf that holds its reference point, the base point, so replication yields no duplicates.
 
-A leaf that stays full because its points coincide is split into batches of base points, with the
+The sample bounds the number of leaves, so with very many points a leaf gets more than its share: it is then cut into
+a grid of equal parts by its count (second pass), which takes no more from the driver than a number per leaf.
+A part that stays full because its points coincide is split into batches of base points, with the
 probes repeated per batch.
 
 Defined results: points with NULL, NaN or infinite coordinates or a declination outside -90..90 have
@@ -65,14 +67,30 @@ def cap_reach(dec: np.ndarray, radius_deg: float) -> np.ndarray:
     return np.where(np.abs(dec) + radius_deg >= 90, 180.0, reach * (1 + 1e-9) + 1e-9)
 
 
-def _home_leaf(leaves: np.ndarray):
-    """Base points: the one leaf each lies in."""
+#: Parts of a leaf along one side at most, and bits of a part's number.
+MOST_CUTS, CUT_BITS = 1 << 16, 17
+
+
+def _part(leaves: np.ndarray, cuts: np.ndarray, leaf: np.ndarray, ra: np.ndarray, dec: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Column and row, in the grid of their leaf, of points; points beside the leaf go to its edge."""
+    a0, a1, d0, d1 = leaves[leaf].T
+    n = cuts[leaf]
+    return tuple(np.clip(np.floor((v - lo) / (hi - lo) * n).astype(np.int64), 0, n - 1) for v, lo, hi in ((ra, a0, a1), (dec, d0, d1)))
+
+
+def _number(leaf: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return (leaf.astype(np.int64) << (2 * CUT_BITS)) | (x << CUT_BITS) | y
+
+
+def _home_leaf(leaves: np.ndarray, cuts: np.ndarray):
+    """Base points: the one part of the one leaf each lies in."""
 
     def assign(batches):
         for b in batches:
             ra, dec = b.column(1).to_numpy(), b.column(2).to_numpy()
             home = _locate(leaves, ra, dec)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(home)], [*b.schema.names, "leaf"])
+            part = _number(home, *_part(leaves, cuts, home, ra, dec))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(part)], [*b.schema.names, "leaf"])
 
     return assign
 
@@ -90,8 +108,8 @@ def _locate(leaves: np.ndarray, ra: np.ndarray, dec: np.ndarray) -> np.ndarray:
     return home
 
 
-def _touched_leaves(leaves: np.ndarray, radius_deg: float):
-    """Probe points: one copy for every leaf that the search cap touches."""
+def _touched_leaves(leaves: np.ndarray, cuts: np.ndarray, radius_deg: float):
+    """Probe points: one copy for every part of a leaf that the search cap touches."""
 
     def assign(batches):
         tree = StrTree(leaves[:, [0, 2]], leaves[:, [1, 3]])
@@ -100,9 +118,15 @@ def _touched_leaves(leaves: np.ndarray, radius_deg: float):
             ra, dec = b.column(1).to_numpy(), b.column(2).to_numpy()
             row, low, high = _boxes(ra, dec, pad)
             q, leaf = tree.overlaps(low, high)
-            pairs = np.unique(np.c_[row[q], leaf], axis=0) if len(q) else np.empty((0, 2), int)
+            x0, y0 = _part(leaves, cuts, leaf, low[q, 0], low[q, 1])
+            x1, y1 = _part(leaves, cuts, leaf, high[q, 0], high[q, 1])
+            wide, tall = x1 - x0 + 1, y1 - y0 + 1
+            k = np.repeat(np.arange(len(q)), wide * tall)
+            step = np.arange(len(k)) - np.repeat(np.cumsum(wide * tall) - wide * tall, wide * tall)
+            parts = _number(leaf[k], x0[k] + step // tall[k], y0[k] + step % tall[k])
+            pairs = np.unique(np.c_[row[q[k]], parts], axis=0) if len(k) else np.empty((0, 2), np.int64)
             out = b.take(pa.array(pairs[:, 0]))
-            yield pa.RecordBatch.from_arrays([*out.columns, pa.array(pairs[:, 1].astype(np.int32))], [*b.schema.names, "leaf"])
+            yield pa.RecordBatch.from_arrays([*out.columns, pa.array(pairs[:, 1])], [*b.schema.names, "leaf"])
 
     return assign
 
@@ -196,16 +220,21 @@ def near_points(probe: DataFrame, base: DataFrame, radius_arcsec: float, leaf_ro
     base points a leaf should hold; the tree is grown from a sample, so it holds about that."""
     n = base.count()
     share = min(1.0, sample_rows / max(n, 1))
-    picked = base if share == 1.0 else base.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
+    picked = base if share == 1.0 else base.where(F.xxhash64("id") < F.lit(int(-(2**63) + share * 2**64)))
     sample = np.array([(r.ra, r.dec) for r in picked.select("ra", "dec").collect()]).reshape(-1, 2)
     leaves = grow_quadtree(sample, max(8, int(leaf_rows * share)))
     radius_deg = radius_arcsec / 3600
-    schema = "id bigint, ra double, dec double, leaf int"
-    homed = base.select("id", "ra", "dec").mapInArrow(_home_leaf(leaves), schema)
-    touched = probe.select("id", "ra", "dec").mapInArrow(_touched_leaves(leaves, radius_deg), schema)
+    schema = "id bigint, ra double, dec double, leaf bigint"
+    cuts = np.ones(len(leaves), np.int64)
+    if share < 1.0:
+        held = base.select("id", "ra", "dec").mapInArrow(_home_leaf(leaves, cuts), schema).groupBy((F.shiftright("leaf", 2 * CUT_BITS)).alias("leaf")).agg(F.count(F.lit(1)).alias("n"))
+        for r in held.collect():  # a row per leaf
+            cuts[r["leaf"]] = min(MOST_CUTS, max(1, round((r["n"] / (2 * leaf_rows)) ** 0.5)))
+    homed = base.select("id", "ra", "dec").mapInArrow(_home_leaf(leaves, cuts), schema)
+    touched = probe.select("id", "ra", "dec").mapInArrow(_touched_leaves(leaves, cuts, radius_deg), schema)
     sizes = homed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).select("leaf", batch_count(F.col("n"), 4 * leaf_rows).alias("batches"))
     probes = touched.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).select("leaf", batch_count(F.col("n"), 4 * leaf_rows).alias("probe_batches"))
-    plan = F.broadcast(sizes.join(probes, "leaf"))  # one small row per leaf; their number is bounded by the sample
+    plan = sizes.join(probes, "leaf")  # one small row per part of a leaf, of about ``leaf_rows`` points each
     left = (
         touched.join(plan, "leaf")
         .withColumn("probe_batch", F.pmod(F.xxhash64("id"), F.col("probe_batches")).cast("int"))

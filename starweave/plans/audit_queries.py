@@ -20,11 +20,11 @@ def processed_gaia(spark: SparkSession, sf: str) -> DataFrame:
     """The survey in processed form: distance from parallax, absolute magnitude, relative error as quality."""
     rows = me.primary_sources(table(spark, sf, "raw_gaia"))
     r = distance_pc(F.col("plx"))
-    return rows.select(F.lit("gaia").alias("source"), F.col("id").alias("source_id"), F.col("ra").alias("ra_deg"), F.col("dec").alias("dec_deg"), r.alias("r_pc"), (F.col("g") - 5.0 * F.log10(r) + 5.0).alias("mag_abs"), (F.col("e_plx") / F.when(F.col("plx") > 0, F.col("plx"))).alias("astrometry_quality"))
+    return rows.withColumnRenamed("g", "phot_g_mean_mag").select("phot_g_mean_mag", F.lit("gaia").alias("source"), F.col("id").alias("source_id"), F.col("ra").alias("ra_deg"), F.col("dec").alias("dec_deg"), r.alias("r_pc"), (F.col("phot_g_mean_mag") - 5.0 * F.log10(r) + 5.0).alias("mag_abs"), (F.col("e_plx") / F.when(F.col("plx") > 0, F.col("plx"))).alias("astrometry_quality"))
 
 
 def processed_hip(spark: SparkSession, sf: str) -> DataFrame:
-    names = ("ra_deg", "dec_deg", "r_pc", "mag_abs", "astrometry_quality", "photometry_quality")
+    names = ("ra_deg", "dec_deg", "r_pc", "mag_abs", "astrometry_quality", "photometry_quality", "sn", "hpmag")
     rows = latest_values(table(spark, sf, "processed_hip").where(F.col("source") == "hip"), "source_id", {c: finite_or_null(c) for c in names}, "loaded_at")
     return rows.withColumnRenamed("id", "source_id")
 
@@ -39,8 +39,8 @@ def diagnosed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def audit_evidence(spark: SparkSession, sf: str) -> DataFrame:
-    cols = ["gaia_source_id", "hip_source_id", "decision", "recommended_action", "severity", "reasons", "separation_arcsec", "apparent_mag_delta", "distance_ratio", "distance_frac_diff", "gaia_candidate_count", "hip_candidate_count", "one_to_one", "official_conflict", "overridden", "within_auto_thresholds", "within_distance_threshold"]
-    return mq.rounded(audit(spark, sf).select(cols), 5, separation_arcsec=4)
+    quality = dict.fromkeys(("gaia_astrometry_quality", "hip_astrometry_quality", "gaia_photometry_quality", "hip_photometry_quality"), 7)
+    return mq.rounded(audit(spark, sf), 5, separation_arcsec=4, gaia_r_pc=4, hip_r_pc=4, **quality)
 
 
 def audit_diagnostics(spark: SparkSession, sf: str) -> DataFrame:
@@ -100,13 +100,13 @@ QUERIES = {f.__name__: f for f in (audit_evidence, audit_diagnostics, audit_hist
 
 _L = mq._last
 _KEY = "TRY_CAST(regexp_extract(regexp_replace(source_id, '(?i)^\\s*gaia\\s*e?dr\\s*[0-9]+($|[^0-9])', '\\1'), '([0-9]+)[^0-9]*$', 1) AS BIGINT)"
-_HIP = f"hq AS (SELECT source_id AS id, {_L('ra_deg')} AS ra, {_L('dec_deg')} AS dec, {_L('r_pc')} AS r, {_L('mag_abs')} AS ma, {_L('astrometry_quality')} AS q FROM processed_hip WHERE source = 'hip' GROUP BY 1)"
+_HIP = f"hq AS (SELECT source_id AS id, {_L('ra_deg')} AS ra, {_L('dec_deg')} AS dec, {_L('r_pc')} AS r, {_L('mag_abs')} AS ma, {_L('astrometry_quality')} AS q, {_L('photometry_quality')} AS pq, {_L('sn')} AS sn, {_L('hpmag')} AS hpmag FROM processed_hip WHERE source = 'hip' GROUP BY 1)"
 _AUDIT = f"""WITH {mq.SOURCES}, {mq.MAPS}, {_HIP},
 pg AS (SELECT *, 1000.0 / plx AS r, g - 5.0 * log10(1000.0 / plx) + 5.0 AS ma, e_plx / plx AS q FROM g WHERE plx > 0),
 pg2 AS (SELECT *, ma + 5.0 * log10(r) - 5.0 AS m FROM pg),
 ph AS (SELECT *, ma + 5.0 * log10(r) - 5.0 AS m, cos(radians(dec)) * cos(radians(ra)) AS x, cos(radians(dec)) * sin(radians(ra)) AS y, sin(radians(dec)) AS z FROM hq WHERE r > 0 AND ma IS NOT NULL AND ra IS NOT NULL AND dec IS NOT NULL),
 ov AS (SELECT DISTINCT lower(trim(source)) AS s, {_KEY} AS k FROM overrides WHERE lower(trim(override_action)) IN ('replace', 'drop', 'add')),
-a0 AS (SELECT a.id AS gid, b.id AS hid, pow(a.x - b.x, 2) + pow(a.y - b.y, 2) + pow(a.z - b.z, 2) AS d2, abs(a.m - b.m) AS dm, a.r AS gr, b.r AS hr, a.q AS gq, b.q AS hq FROM pg2 a JOIN ph b ON a.dec BETWEEN b.dec - 0.0015 AND b.dec + 0.0015),
+a0 AS (SELECT a.id AS gid, b.id AS hid, pow(a.x - b.x, 2) + pow(a.y - b.y, 2) + pow(a.z - b.z, 2) AS d2, abs(a.m - b.m) AS dm, a.r AS gr, b.r AS hr, a.q AS gq, b.q AS hq, a.ra AS gra, a.dec AS gdec, b.ra AS hra, b.dec AS hdec, a.ma AS gma, b.ma AS hma, a.m AS gm, b.m AS hm, a.g AS gg, b.pq AS hpq, b.sn AS hsn, b.hpmag AS hhp FROM pg2 a JOIN ph b ON a.dec BETWEEN b.dec - 0.0015 AND b.dec + 0.0015),
 a1 AS (SELECT *, degrees(2 * asin(least(sqrt(d2) / 2, 1))) * 3600 AS sep, count(*) OVER (PARTITION BY gid) AS gc, count(*) OVER (PARTITION BY hid) AS hc FROM a0
        WHERE d2 <= pow(2 * sin(radians(5.0 / 3600.0) / 2), 2) AND dm <= 0.5 AND NOT EXISTS (FROM o WHERE gaia_source_id = gid AND hip_source_id = hid)),
 a2 AS (SELECT *, greatest(gr, hr) / least(gr, hr) AS ratio, abs(gr - hr) / greatest(gr, hr) AS frac, gc = 1 AND hc = 1 AS one, sep <= 0.25 AND dm <= 0.25 AS tight,
@@ -122,7 +122,12 @@ _QUANT = ", ".join(f"({float(q)})" for q in ma.QUANTILES)
 _ISSUES = "SELECT CAST(id AS VARCHAR) AS source_id, ra, dec, r FROM hq WHERE r > 2000 OR ma < -6"
 
 ORACLES = {
-    "audit_evidence": _AUDIT + "SELECT gid AS gaia_source_id, hid AS hip_source_id, decision, recommended_action, severity, reasons, round(sep, 4) AS separation_arcsec, round(dm, 5) AS apparent_mag_delta, round(ratio, 5) AS distance_ratio, round(frac, 5) AS distance_frac_diff, CAST(gc AS INTEGER) AS gaia_candidate_count, CAST(hc AS INTEGER) AS hip_candidate_count, one AS one_to_one, conf AS official_conflict, over AS overridden, tight AS within_auto_thresholds, frac <= 0.10 AS within_distance_threshold FROM au",
+    "audit_evidence": _AUDIT + """SELECT gid AS gaia_source_id, hid AS hip_source_id, decision, recommended_action, severity, reasons, round(sep, 4) AS separation_arcsec, round(dm, 5) AS apparent_mag_delta, round(ratio, 5) AS distance_ratio, round(frac, 5) AS distance_frac_diff,
+      round(gra, 5) AS gaia_ra_deg, round(gdec, 5) AS gaia_dec_deg, round(hra, 5) AS hip_ra_deg, round(hdec, 5) AS hip_dec_deg, round(gr, 4) AS gaia_r_pc, round(hr, 4) AS hip_r_pc, round(gma, 5) AS gaia_mag_abs, round(hma, 5) AS hip_mag_abs, round(gm, 5) AS gaia_apparent_mag, round(hm, 5) AS hip_apparent_mag,
+      round(gq, 7) AS gaia_astrometry_quality, round(hq, 7) AS hip_astrometry_quality, CAST(NULL AS DOUBLE) AS gaia_photometry_quality, round(hpq, 7) AS hip_photometry_quality, CAST(NULL AS DOUBLE) AS gaia_ruwe, round(gg, 5) AS gaia_phot_g_mean_mag, CAST(hsn AS DOUBLE) AS hip_solution_type, round(hhp, 5) AS hip_hpmag,
+      gp IS NOT NULL AS gaia_has_official_map, hp IS NOT NULL AS hip_has_official_map, conf AS official_conflict, gp AS gaia_official_hip_source_id, hp AS hip_official_gaia_source_id, CAST(gc AS INTEGER) AS gaia_candidate_count, CAST(hc AS INTEGER) AS hip_candidate_count, one AS one_to_one, tight AS within_auto_thresholds,
+      frac <= 0.10 AS within_distance_threshold, over AS overridden
+      FROM au LEFT JOIN (SELECT gaia_source_id AS gk, max(hip_source_id) AS gp FROM o GROUP BY 1) ON gid = gk LEFT JOIN (SELECT hip_source_id AS hk, max(gaia_source_id) AS hp FROM o GROUP BY 1) ON hid = hk""",
     "audit_diagnostics": _AUDIT + "SELECT gid AS gaia_source_id, hid AS hip_source_id, round(pct, 5) AS distance_pct_diff, round(abs(gr - hr), 4) AS distance_abs_diff_pc, round(worst, 7) AS worst_quality, round(best, 7) AS best_quality, round(worst / nullif(best, 0), 5) AS quality_ratio, round(sqrt(greatest(0.0, gr * gr + hr * hr - 2.0 * gr * hr * cos(radians(sep / 3600.0)))), 3) AS separation_3d_pc, clean AS is_clean FROM au",
     "audit_histogram": _AUDIT + f"SELECT CAST(b.a AS DOUBLE) AS bin_start_pct, CAST(b.e AS DOUBLE) AS bin_end_pct, count(pct) FILTER (clean) AS clean_auto_eligible_count, count(pct) AS all_candidate_count FROM (VALUES {_EDGES}) b(a, e) LEFT JOIN au ON pct >= b.a AND (pct < b.e OR (b.e = 100.0 AND pct = 100.0)) GROUP BY 1, 2",
     "audit_quality_bins": _AUDIT + f"SELECT b.l AS worst_quality_bin, count(pct) AS n_rows, count(*) FILTER (frac <= 0.10) AS distance_pct_le_10, count(*) FILTER (frac > 0.10 AND frac <= 0.25) AS distance_pct_10_to_25, count(*) FILTER (frac > 0.25) AS distance_pct_gt_25, round(median(pct), 5) AS median_distance_pct, round(median(gq), 8) AS median_gaia_quality, round(median(hq), 8) AS median_hip_quality FROM (VALUES {_QBINS}) b(a, e, l) LEFT JOIN au ON clean AND worst >= b.a AND worst < b.e GROUP BY 1",

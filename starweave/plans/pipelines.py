@@ -1,24 +1,26 @@
 """Whole runs from files to files: raw match, processed audit, review report, cohorts and scores.
 
-Each run checks its inputs and the absence of its outputs first, keeps everything lazy until the sinks,
-validates maps before any is written, and ends with a JSON report of scalars."""
+Each run checks its inputs and the absence of its outputs first, validates maps before any is written, and ends with a
+JSON report of scalars. Evidence is written to the shared folder before its many readers; that table is deleted at the end."""
 
 from __future__ import annotations
 
+import tomllib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starweave.functions.numeric import finite
 from starweave.operators import cohorts as co
 from starweave.operators import match_audit as ma
 from starweave.operators import match_evidence as me
-from starweave.operators.maps import LOCAL_SOURCE, combine_maps, normalise_map, require_one_to_one, supplemental_map
+from starweave.operators.maps import LOCAL_SOURCE, combine_maps, inferred_source, normalise_map, require_one_to_one, strict_ids, supplemental_map
 from starweave.operators.review import manual_queue, review_table, write_sidecar
 from starweave.operators.scoring import score_candidates
-from starweave.session import materialise, ship_package
-from starweave.sources.sinks import write_csv, write_parquet, write_report, write_table_twice
-from starweave.sources.tables import conform, read_ecsv, read_overrides
+from starweave.session import discard, materialise, ship_package
+from starweave.sources.sinks import exists, write_csv, write_parquet, write_report, write_table_twice
+from starweave.sources.tables import conform, read_ecsv, read_overrides, text_of_bytes
 
 RAW_HIP = {"hip": "bigint", "rarad": "double", "derad": "double", "pmra": "double", "pmde": "double", "hpmag": "double", "plx": "double", "e_plx": "double", "sn": "int", "b_v": "double", "loaded_at": "timestamp"}
 RAW_GAIA = {"source_id": "bigint", "ra_deg": "double", "dec_deg": "double", "phot_g_mean_mag": "double", "phot_bp_mean_mag": "double", "phot_rp_mean_mag": "double", "parallax": "double", "parallax_error": "double", "loaded_at": "timestamp"}
@@ -28,11 +30,6 @@ REQUIRED_HIP = ("hip", "rarad", "derad", "pmra", "pmde", "hpmag")
 REQUIRED_GAIA = ("source_id", "ra_deg", "dec_deg", "phot_g_mean_mag")
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
 def prepare(spark: SparkSession, inputs: list[str], outputs: list[str], force: bool) -> None:
     """Raises FileNotFoundError for a missing input and FileExistsError for an output that would be replaced."""
     ship_package(spark)
@@ -57,13 +54,21 @@ def read_any(spark: SparkSession, path: str, schema: dict[str, str], required: t
     return conform(df, schema)
 
 
-def read_map(spark: SparkSession, path: str, default_source: str = "") -> DataFrame:
+def read_map(spark: SparkSession, path: str, default_source: str | None = "", strict: bool = False) -> DataFrame:
+    """A map file. ``default_source`` None: taken from the map's flag column. ``strict``: unsound ids raise instead of
+    being left out."""
     if path.endswith(".ecsv"):
         names = {"source_id": "bigint", "original_ext_source_id": "bigint", "gaia_source_id": "bigint", "hip_source_id": "bigint", "mapping_source": "string", "number_of_neighbours": "smallint", "angular_distance": "float"}
         df = read_ecsv(spark, path, names)
         own = df.where(F.col("gaia_source_id").isNotNull()).isEmpty()
         return normalise_map(df.drop("gaia_source_id", "hip_source_id") if own else df, default_source)
-    return normalise_map(spark.read.parquet(path), default_source)
+    df = spark.read.parquet(path)
+    return normalise_map(strict_ids(df) if strict else df, inferred_source(df) if default_source is None else default_source)
+
+
+def by_ids(pairs: DataFrame) -> DataFrame:
+    """A map in the order of its ids, range-partitioned for the writer."""
+    return pairs.orderBy("gaia_source_id", "hip_source_id")
 
 
 @dataclass(frozen=True)
@@ -86,46 +91,51 @@ def run_raw_match(spark: SparkSession, hip: str, gaia: str, official: str, out:
     supplemental = require_one_to_one(supplemental_map(evidence))
     combined = require_one_to_one(combine_maps(known, supplemental))
     write_parquet(secondary.drop("x", "y", "z").sortWithinPartitions("id"), paths["hip_sources.parquet"], force)
-    write_parquet(evidence.sortWithinPartitions("decision", "separation_arcsec"), paths["match_evidence.parquet"], force)
-    write_parquet(supplemental, paths["supplemental_map.parquet"], force)
-    write_parquet(combined, paths["combined_map.parquet"], force)
-    report = me.match_report(evidence).first().asDict() | {"gaia_rows": raw_gaia.count(), "gaia_sources": primary.count(), "hip_rows": raw_hip.count(), "hip_sources": secondary.count(), "official_rows": known.count(), "combined_rows": combined.count(), "options": vars(options)}
-    write_report(report, paths["report.json"], force)
+    write_parquet(me.display_order(evidence), paths["match_evidence.parquet"], force)
+    write_parquet(by_ids(supplemental), paths["supplemental_map.parquet"], force)
+    write_parquet(by_ids(combined), paths["combined_map.parquet"], force)
+    scanned, used = raw_gaia.count(), primary.count()
+    report = me.match_report(evidence).first().asDict() | {"gaia_rows": scanned, "gaia_sources": used, "gaia_rows_skipped": scanned - used, "hip_rows": raw_hip.count(), "hip_sources": secondary.count(), "official_rows": known.count(), "combined_rows": combined.count(), "options": vars(options)}
+    write_report(spark, report, paths["report.json"], force)
+    discard(evidence)
     return report
 
 
-def run_match_audit(spark: SparkSession, gaia: str, hip: str, official: str, overrides: str | None, out: str, force: bool = False) -> dict:
+def run_match_audit(spark: SparkSession, gaia: str, hip: str, official: str, overrides: str | None, out: str, force: bool = False, limits: ma.AuditLimits = ma.LIMITS) -> dict:
     """Processed-catalogue evidence, maps and the distance diagnostics."""
     names = ("evidence", "supplemental_map", "combined_map", "distance_histogram", "quality_summary", "policies")
     prepare(spark, [gaia, hip, official, *([overrides] if overrides else [])], [f"{out}/{n}" for n in names] + [f"{out}/report.json"], force)
-    known = read_map(spark, official)
+    known = read_map(spark, official, strict=True)
     keys = read_overrides(spark.read.parquet(overrides), ma.OVERRIDE_ACTIONS) if overrides else spark.createDataFrame([], "catalog_name string, source_id bigint")
     side = lambda path, role: ma.processed_sources(spark.read.parquet(path), role)
-    evidence = materialise(ma.match_audit(side(gaia, "gaia"), side(hip, "hip"), known, keys))
+    evidence = materialise(ma.match_audit(side(gaia, "gaia"), side(hip, "hip"), known, keys, limits))
     supplemental = require_one_to_one(supplemental_map(evidence, "auto_match", LOCAL_SOURCE))
     combined = require_one_to_one(combine_maps(known, supplemental))
     rows = ma.diagnostics(evidence)
-    for name, df in (("evidence", evidence), ("supplemental_map", supplemental), ("combined_map", combined)):
+    for name, df in (("evidence", me.display_order(ma.with_text_ids(evidence))), ("supplemental_map", by_ids(supplemental)), ("combined_map", by_ids(combined))):
         write_parquet(df, f"{out}/{name}", force)
-    for name, df in (("distance_histogram", ma.distance_histogram(rows)), ("quality_summary", ma.quality_summary(rows)), ("policies", ma.policy_table(rows))):
+    for name, df in (("distance_histogram", ma.distance_histogram(rows)), ("quality_summary", ma.quality_summary(rows)), ("policies", ma.policy_table(rows, limits.auto_frac))):
         write_csv(df, f"{out}/{name}", force)
     counts = {r.decision: r["count"] for r in evidence.groupBy("decision").count().collect()}
     quantiles = {str(r["quantile"]): r["value"] for r in ma.exact_quantiles(rows.where("is_clean"), "distance_pct_diff").collect()}
-    report = {"decisions": counts, "supplemental_rows": supplemental.count(), "combined_rows": combined.count(), "quantiles_clean_pct_diff": quantiles}
-    write_report(report, f"{out}/report.json", force)
+    report = {"decisions": counts, "supplemental_rows": supplemental.count(), "combined_rows": combined.count(), "quantiles_clean_pct_diff": quantiles, "limits": vars(limits)}
+    write_report(spark, report, f"{out}/report.json", force)
+    discard(evidence)
     return report
 
 
 def run_audit_report(spark: SparkSession, evidence: str, issues: str, out: str, healpix_order: int = 3, force: bool = False) -> dict:
     """Review table in cells of the sky, manual queue as Parquet and CSV, report."""
-    prepare(spark, [evidence, issues], [f"{out}/octree_review", f"{out}/manual.parquet", f"{out}/report.json"], force)
+    prepare(spark, [evidence, issues], [f"{out}/octree_review", f"{out}/manual.parquet", f"{out}/manual_csv", f"{out}/report.json"], force)
     e, i = spark.read.parquet(evidence), spark.read.parquet(issues)
-    review = review_table(e, i)
-    written = write_sidecar(review, f"{out}/octree_review", healpix_order)
+    review = materialise(review_table(e, i))
+    written = write_sidecar(review, f"{out}/octree_review", healpix_order, force)
     queue = materialise(manual_queue(e, i))
     write_table_twice(queue, f"{out}/manual", force)
     report = {"review_rows": review.count(), "sharded_rows": written, "manual_rows": queue.count(), "issue_types": {r.issue_type: r["count"] for r in i.groupBy("issue_type").count().collect()}}
-    write_report(report, f"{out}/report.json", force)
+    write_report(spark, report, f"{out}/report.json", force)
+    discard(review)
+    discard(queue)
     return report
 
 
@@ -151,13 +161,54 @@ def review_candidates(gaia: DataFrame, hip: DataFrame, official: DataFrame, supp
 
 def run_review(spark: SparkSession, gaia: DataFrame, hip: DataFrame, official: DataFrame, supplemental: DataFrame, neighbourhood: DataFrame, out: str, size: int = co.COHORT_SIZE, force: bool = False) -> dict:
     """Candidates and their priority scores as Parquet and CSV, with flag counts in the report."""
-    prepare(spark, [], [f"{out}/candidates.parquet", f"{out}/scores.parquet", f"{out}/report.json"], force)
+    prepare(spark, [], [f"{out}/{n}" for n in ("candidates.parquet", "candidates_csv", "scores.parquet", "scores_csv", "report.json")], force)
     candidates = materialise(review_candidates(gaia, hip, official, supplemental, neighbourhood, size))
     scores = materialise(score_candidates(candidates))
-    write_table_twice(candidates, f"{out}/candidates", force)
+    write_table_twice(by_flags(candidates), f"{out}/candidates", force)
     write_table_twice(scores, f"{out}/scores", force)
     tiers = {r.priority_tier: r["count"] for r in scores.groupBy("priority_tier").count().collect()}
     flags = {f"{r.catalog_name}.{r.flag}": r.n for r in co.flag_counts(candidates, ["catalog_name"]).collect()}
     report = {"candidates": candidates.count(), "tiers": tiers, "flags": flags}
-    write_report(report, f"{out}/report.json", force)
+    write_report(spark, report, f"{out}/report.json", force)
+    discard(candidates)
+    discard(scores)
     return report
+
+
+def by_flags(candidates: DataFrame) -> DataFrame:
+    """Candidates of both catalogues, those with the most flags first."""
+    return candidates.orderBy("catalog_name", F.col("quality_flag_count").desc(), "id")
+
+
+#: Columns of a source table for the review, those that must be there first.
+SOURCES = {"id": "bigint", "mag": "double", "parallax": "double", "parallax_error": "double", "pmra": "double", "pmdec": "double", "sn": "double", "ruwe": "double", "phot_bp_mean_mag": "double", "phot_rp_mean_mag": "double"}
+REQUIRED_SOURCES = ("id", "mag", "parallax", "parallax_error")
+
+
+def run_review_files(spark: SparkSession, gaia: str, hip: str, official: str, supplemental: str, neighbourhood: str, out: str, size: int = co.COHORT_SIZE, force: bool = False) -> dict:
+    """``run_review`` from files. Source tables need id, mag, parallax and parallax_error; what else they have their flags use."""
+    prepare(spark, [gaia, hip, official, supplemental, neighbourhood], [], force)
+    sides = []
+    for path in (gaia, hip):
+        df = text_of_bytes(spark.read.parquet(path))
+        lost = [c for c in REQUIRED_SOURCES if c not in df.columns]
+        if lost:
+            raise ValueError(f"{path} lacks the columns {', '.join(lost)}")
+        sides.append(df.withColumns({c: F.col(c).try_cast(k) for c, k in SOURCES.items() if c in df.columns}))
+    return run_review(spark, *sides, *(read_map(spark, p, None) for p in (official, supplemental, neighbourhood)), out, size, force)
+
+
+def with_external_distance(sources: DataFrame, distances: DataFrame, least: float = 0.0) -> DataFrame:
+    """Sources with the distance another table has for them, where that is finite and above ``least``: the eligible ones."""
+    eligible = distances.where(finite("external_r_pc") & (F.col("external_r_pc") > least)).groupBy("source_id").agg(F.min("external_r_pc").alias("external_r_pc"))
+    return sources.join(eligible, "source_id")
+
+
+def project_settings(path: str, required: tuple[str, ...]) -> dict:
+    """The sections of a TOML project file; ValueError without one that is required."""
+    with open(path, "rb") as f:
+        settings = tomllib.load(f)
+    lost = [s for s in required if not isinstance(settings.get(s), dict)]
+    if lost:
+        raise ValueError(f"{path} lacks the sections {', '.join(lost)}")
+    return settings

@@ -42,9 +42,12 @@ def ship_package(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a temporary one only where none is set (local tests)."""
+    """The folder of ``spark.checkpoint.dir``. Only a session on this machine alone gets a temporary one where none is set;
+    on a cluster executors could not share it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         own = tempfile.mkdtemp(prefix="spark-")
         atexit.register(shutil.rmtree, own, True)
         folder = "file://" + own

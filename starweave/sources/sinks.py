@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import json
-from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -25,10 +24,30 @@ def write_table_twice(df: DataFrame, stem: str, overwrite: bool = False) -> None
     write_csv(df, f"{stem}_csv", overwrite)
 
 
-def write_report(values: dict, path: str, overwrite: bool = False) -> None:
-    """Scalars and small lists as JSON with sorted keys."""
-    target = Path(path)
-    if target.exists() and not overwrite:
+def _hadoop(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, target = _hadoop(spark, path)
+    return system.exists(target)
+
+
+def write_report(spark: SparkSession, values: dict, path: str, overwrite: bool = False) -> None:
+    """Scalars and small lists as JSON with sorted keys, in the file system the path names."""
+    system, target = _hadoop(spark, path)
+    if system.exists(target) and not overwrite:
         raise FileExistsError(path)
-    target.parent.mkdir(parents=True, exist_ok=True)
-    target.write_text(json.dumps(values, indent=2, sort_keys=True, default=str) + "\n")
+    system.mkdirs(target.getParent())
+    out = system.create(target, overwrite)
+    try:
+        out.write(bytearray((json.dumps(values, indent=2, sort_keys=True, default=str) + "\n").encode()))
+    finally:
+        out.close()
+
+
+def manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, length, sha256) of the files under a folder, hashed by the tasks; files of up to 2 GB, as Spark reads them whole."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    return files.select("path", "length", F.sha2("content", 256).alias("sha256"))

@@ -15,10 +15,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def conform(df: DataFrame, schema: dict[str, str]) -> DataFrame:
     """Exactly the columns of ``schema`` in its order: missing ones as typed NULL, unreadable values
-    as NULL, unsigned 64-bit ids (decimal in Spark) back to integers."""
+    as NULL, unsigned 64-bit ids (decimal in Spark) back to integers, bytes as text."""
+    df = text_of_bytes(df)
     return df.select(*[(F.col(c).try_cast(kind) if c in df.columns else F.lit(None).cast(kind)).alias(c) for c, kind in schema.items()])
 
 
+def text_of_bytes(df: DataFrame) -> DataFrame:
+    """Columns of bytes as UTF-8 text; bytes that are none become the replacement sign."""
+    return df.withColumns({c: F.make_valid_utf8(F.col(c).cast("string")) for c, kind in df.dtypes if kind == "binary"})
+
+
 def read_parquet_files(spark: SparkSession, paths: list[str], schema: dict[str, str]) -> DataFrame:
     """Several Parquet files or folders whose columns may differ, in one relation; a file with none
     of the wanted columns is left out."""

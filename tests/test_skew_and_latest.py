@@ -4,23 +4,23 @@ from pyspark.sql import functions as F
 
 from starweave.operators.latest import latest_values
 from starweave.operators.rules import Rule, decide
-from starweave.operators.skew import batch_count, hot_keys, join_hot
+from starweave.operators.skew import batch_count, hot_salts, join_hot
 from starweave.session import discard, materialise, shared_folder, spread
 
 
-def test_hot_keys_are_few_and_found(spark):
-    counts = spark.createDataFrame([(k, 90_000 if k in (1, 2) else 5) for k in range(1000)], "k long, n long")
-    assert hot_keys(counts, "k", "n") == {1: 90_000, 2: 90_000}
-    assert hot_keys(counts.where("k > 2"), "k", "n") == {}
-    assert hot_keys(counts.limit(0), "k", "n") == {}
+def test_hot_keys_get_salts_by_their_rows(spark):
+    counts = spark.createDataFrame([(k, {1: 90_000, 2: 500_000}.get(k, 50_000)) for k in range(100)], "k long, n long")
+    assert sorted(map(tuple, hot_salts(counts, "k", "n").collect())) == [(1, 2), (2, 10)]
+    assert hot_salts(counts.where("k > 2"), "k", "n").isEmpty() and hot_salts(counts.limit(0), "k", "n").isEmpty()
 
 
 def test_salted_join_equals_plain_join(spark):
     big = spark.range(3000).select((F.col("id") % 7).alias("k"), F.col("id").alias("v"))
     small = spark.createDataFrame([(k, f"x{k}") for k in range(5)], "k long, t string")
     plain = sorted(map(tuple, big.join(small, "k").collect()))
-    assert sorted(map(tuple, join_hot(big, small, "k", {3: 428}, spread=8, salt_by="v").select("k", "v", "t").collect())) == plain
-    assert sorted(map(tuple, join_hot(big, small, "k", {}).collect())) == plain
+    counts = big.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    for rows in (60, 400, 1_000):
+        assert sorted(map(tuple, join_hot(big, small, "k", hot_salts(counts, "k", "n", rows), salt_by="v").select("k", "v", "t").collect())) == plain
     assert [r.b for r in spark.createDataFrame([(0,), (10,), (11,)], "n long").select(batch_count(F.col("n"), 10).alias("b")).collect()] == [1, 1, 2]
 
 

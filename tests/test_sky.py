@@ -51,6 +51,15 @@ def test_near_points_splits_a_full_leaf(spark):
     assert near_points(frame(spark, *same), frame(spark, *same), RADIUS, leaf_rows=10).count() == 150 * 150
 
 
+def test_near_points_cuts_leaves_that_the_sample_left_full(spark, skies):
+    """A sample too small for the leaves: they are cut by their counts, seam, poles and clusters included."""
+    p, b = skies
+    for sample_rows in (1, 20, 60):
+        found = near_points(frame(spark, *p), frame(spark, *b), RADIUS, leaf_rows=15, sample_rows=sample_rows).collect()
+        assert len(found) == len({(r.probe_id, r.base_id) for r in found})
+        assert {(r.probe_id, r.base_id) for r in found} == brute(p, b)
+
+
 def test_near_points_empty_and_unplaced(spark, skies):
     some = frame(spark, *skies[0])
     assert near_points(some, some.limit(0), RADIUS).count() == 0
