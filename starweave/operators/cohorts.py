@@ -26,6 +26,23 @@ def top_cohort(df: DataFrame, cohort: str, metric: str, ascending: bool, size: i
     return top.select("*", F.lit(cohort).alias("cohort"), F.row_number().over(Window.orderBy(*order)).alias("cohort_rank"))
 
 
+def top_cohorts(df: DataFrame, kinds: tuple[tuple[str, str, bool], ...], size: int = COHORT_SIZE, salts: int = 64) -> DataFrame:
+    """Several cohorts in one pass over ``df``: (name, metric, ascending) each, with cohort and cohort_rank.
+
+    A nearest cohort takes positive parallaxes only. Ranks are cut off per salt first, so a task that ranks a whole cohort
+    gets ``size`` rows per salt at most."""
+    keys = []
+    for name, metric, ascending in kinds:
+        value = F.col(metric).cast("double")
+        fit = finite(metric) & (value > 0) if name == "nearest" else finite(metric)
+        keys.append(F.struct(F.lit(name).alias("cohort"), F.when(fit, value if ascending else -value).alias("order")))
+    rows = df.withColumn("_k", F.explode(F.filter(F.array(*keys), lambda k: k["order"].isNotNull()))).withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(salts)))
+    rows = rows.select("*", F.col("_k.cohort").alias("cohort"), F.col("_k.order").alias("_order"))
+    for within in (["cohort", "_salt"], ["cohort"]):
+        rows = rows.withColumn("cohort_rank", F.row_number().over(Window.partitionBy(*within).orderBy("_order", "id"))).where(F.col("cohort_rank") <= size)
+    return rows.drop("_k", "_salt", "_order")
+
+
 def joined(flags: list[tuple[str, Column]]) -> Column:
     """``;``-joined names of the conditions that hold, in their order; NULL conditions do not hold."""
     return F.array_join(F.array_compact(F.array(*[F.when(cond, F.lit(name)) for name, cond in flags])), ";")

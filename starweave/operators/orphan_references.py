@@ -22,9 +22,10 @@ from pyspark.sql import functions as F
 
 from starweave.functions.numeric import plain_word
 from starweave.operators.skew import batch_count
+from starweave.session import materialise
 
-#: The driver holds at most this many range borders (8 bytes each), whatever the number of keys.
-MAX_RANGES = 4096
+#: The driver holds at most this many range borders (8 bytes each): enough for 65 billion keys in ranges of a million.
+MAX_RANGES = 1 << 16
 
 MISSING, DELETED, LATE = 1, 2, 3
 
@@ -52,7 +53,7 @@ def range_borders(keys: DataFrame, keys_per_range: int) -> np.ndarray:
     ranges = min(MAX_RANGES, max(1, -(-n // keys_per_range)))
     if ranges == 1:
         return np.empty(0, np.int64)
-    found = keys.agg(F.percentile_approx("key", [i / ranges for i in range(1, ranges)], 10_000).alias("q")).first()["q"]
+    found = keys.agg(F.percentile_approx("key", [i / ranges for i in range(1, ranges)], max(10_000, 4 * ranges)).alias("q")).first()["q"]
     return np.unique(np.array(found, np.int64))
 
 
@@ -88,6 +89,7 @@ def orphan_references(refs: DataFrame, parents: DataFrame, keys_per_range: int =
 
     ``refs``: (from_table, record_id, target, key, ref_time). ``parents``: see ``parent_keys``."""
     us = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    parents = materialise(parents)
     borders = range_borders(parents.select("key").distinct(), keys_per_range)
     refs = refs.where(F.col("key").isNotNull()).select("from_table", "record_id", "target", "key", us("ref_time").alias("ref_us")).distinct()
     ranged = refs.mapInArrow(_with_range(borders, 3), "from_table string, record_id bigint, target string, key bigint, ref_us bigint, range_id int")

@@ -9,7 +9,9 @@ from starweave.functions.geometry import separation_arcsec
 from starweave.functions.healpix import nested_cell
 from starweave.functions.numeric import finite
 from starweave.operators import match_evidence as me
+from starweave.operators.colour_fit import fit_polynomial, with_colour_residual
 from starweave.operators.maps import combine_maps, normalise_map, repeated_ids, supplemental_map
+from starweave.operators.quantiles import quantiles_by
 from starweave.sources.tables import table
 
 NEIGHBOURHOOD = "neighbourhood_import"
@@ -82,6 +84,27 @@ def repeated_map_ids(spark: SparkSession, sf: str) -> DataFrame:
     return repeated_ids(combined_pairs(spark, sf))
 
 
+def repeated_official_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids that stand in several pairs of the official map and the neighbourhood together."""
+    return repeated_ids(normalise_map(table(spark, sf, "official_map")))
+
+
+def colour_fit(spark: SparkSession, sf: str) -> DataFrame:
+    """The difference of both magnitudes of official pairs as a line in the survey's colour, with one gate on the residuals."""
+    pairs = _official_magnitudes(spark, sf)
+    fit = fit_polynomial(pairs, "gaia_bp_rp", "delta", 1, 2.5, 2)
+    rated = with_colour_residual(pairs, "gaia_bp_rp", "delta", fit, 3.0)
+    values = [F.lit(v).alias(n) for n, v in zip(("constant", "slope", "spread"), (*fit.coefficients, fit.spread), strict=True)]
+    return rounded(rated.agg(F.count("colour_residual").alias("n_pairs"), F.count_if("within_colour_gate").alias("n_within_gate")).select("*", F.lit(fit.n).cast("bigint").alias("n_fitted"), *values), 4)
+
+
+def _official_magnitudes(spark: SparkSession, sf: str) -> DataFrame:
+    """Official pairs with the magnitudes and colours of both sides."""
+    g = gaia(spark, sf).select(F.col("id").alias("gaia_source_id"), F.col("g").alias("gaia_mag"), (F.col("bp") - F.col("rp")).alias("gaia_bp_rp"))
+    h = hip(spark, sf).select(F.col("id").alias("hip_source_id"), F.col("mag").alias("hip_mag"), F.floor(F.col("bv") / 0.25).cast("int").alias("colour_bin"))
+    return official(spark, sf).join(g, "gaia_source_id").join(h, "hip_source_id").withColumn("delta", F.col("gaia_mag") - F.col("hip_mag"))
+
+
 def official_recall(spark: SparkSession, sf: str) -> DataFrame:
     """Official pairs without evidence, by why: a side has no source row, or the pair is too far apart."""
     keys = ["gaia_source_id", "hip_source_id"]
@@ -142,12 +165,13 @@ def footprint(spark: SparkSession, sf: str) -> DataFrame:
 
 def magnitude_recovery(spark: SparkSession, sf: str) -> DataFrame:
     """How well the official partner's magnitude agrees, by colour: counts, medians and spread."""
-    g = gaia(spark, sf).select(F.col("id").alias("gaia_source_id"), F.col("g").alias("gaia_mag"))
-    h = hip(spark, sf).select(F.col("id").alias("hip_source_id"), F.col("mag").alias("hip_mag"), F.floor(F.col("bv") / 0.25).cast("int").alias("colour_bin"))
-    both = official(spark, sf).join(g, "gaia_source_id").join(h, "hip_source_id").withColumn("delta", F.col("gaia_mag") - F.col("hip_mag"))
+    both = _official_magnitudes(spark, sf)
     near = lambda limit: F.count_if(F.abs("delta") <= limit)
-    spread = F.percentile("delta", F.lit(0.9)) - F.percentile("delta", F.lit(0.1))
-    return rounded(both.groupBy("colour_bin").agg(F.count(F.lit(1)).alias("n"), near(0.25).alias("within_0p25"), near(0.5).alias("within_0p5"), near(1.0).alias("within_1p0"), F.median("delta").alias("median_delta"), spread.alias("spread_10_90")), 7)
+    counts = both.groupBy("colour_bin").agg(F.count(F.lit(1)).alias("n"), near(0.25).alias("within_0p25"), near(0.5).alias("within_0p5"), near(1.0).alias("within_1p0"))
+    found = quantiles_by(both, ["colour_bin"], {"delta": F.col("delta")}, (0.1, 0.5, 0.9))
+    at = lambda q: F.max(F.when(F.col("quantile") == q, F.col("value")))
+    spread = found.groupBy(F.col("colour_bin").alias("of_bin")).agg(at(0.5).alias("median_delta"), (at(0.9) - at(0.1)).alias("spread_10_90"))
+    return rounded(counts.join(spread, F.col("colour_bin").eqNullSafe(F.col("of_bin")), "left").drop("of_bin"), 7)
 
 
 def recorded_separations(spark: SparkSession, sf: str) -> DataFrame:
@@ -161,7 +185,7 @@ def recorded_separations(spark: SparkSession, sf: str) -> DataFrame:
     return e.select("evidence_id", near.alias("agreement")).distinct().groupBy("agreement").agg(F.count(F.lit(1)).alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (prepared_secondary, raw_evidence, gated_evidence, evidence_report, decision_counts, official_pairs, supplemental_pairs, combined_pairs, repeated_map_ids, official_recall, neighbourhood_overlap, separation_thresholds, outlier_presence, sky_density, sky_cells, footprint, magnitude_recovery, recorded_separations)}
+QUERIES = {f.__name__: f for f in (prepared_secondary, raw_evidence, gated_evidence, evidence_report, decision_counts, official_pairs, supplemental_pairs, combined_pairs, repeated_map_ids, repeated_official_ids, colour_fit, official_recall, neighbourhood_overlap, separation_thresholds, outlier_presence, sky_density, sky_cells, footprint, magnitude_recovery, recorded_separations)}
 
 
 def _mod360(x: str) -> str:
@@ -236,6 +260,11 @@ ORACLES = {
     "supplemental_pairs": _evidence() + f"SELECT gaia_source_id, hip_source_id, mapping_source, CAST(number_of_neighbours AS SMALLINT) AS number_of_neighbours, round(CAST(angular_distance AS DOUBLE), 3) AS angular_distance FROM ({_SUPPLEMENT})",
     "combined_pairs": _evidence() + f"SELECT * REPLACE (CAST(number_of_neighbours AS SMALLINT) AS number_of_neighbours) FROM ({_COMBINED})",
     "repeated_map_ids": _evidence() + f", cm AS ({_COMBINED}) SELECT 'gaia' AS catalog_name, gaia_source_id AS source_id, count(*) AS n FROM cm GROUP BY 2 HAVING count(*) > 1 UNION ALL SELECT 'hip', hip_source_id, count(*) FROM cm GROUP BY 2 HAVING count(*) > 1",
+    "repeated_official_ids": "WITH p AS (SELECT DISTINCT gaia_source_id AS g, hip_source_id AS h FROM official_map WHERE gaia_source_id > 0 AND hip_source_id > 0) SELECT 'gaia' AS catalog_name, g AS source_id, count(*) AS n FROM p GROUP BY 2 HAVING count(*) > 1 UNION ALL SELECT 'hip', h, count(*) FROM p GROUP BY 2 HAVING count(*) > 1",
+    "colour_fit": f"""WITH {SOURCES}, {MAPS}, p AS (SELECT g.bp - g.rp AS x, g.g - h.mag AS y FROM o JOIN g ON g.id = gaia_source_id JOIN h ON h.id = hip_source_id), q AS (FROM p WHERE x IS NOT NULL AND y IS NOT NULL),
+      f1 AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM q), s1 AS (SELECT a, b, sqrt(avg(pow(y - a - b * x, 2))) AS s FROM q, f1 GROUP BY a, b),
+      k AS (SELECT x, y FROM q, s1 WHERE abs(y - a - b * x) <= 2.5 * s), f2 AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a, count(*) AS n FROM k), s2 AS (SELECT a, b, n, sqrt(avg(pow(y - a - b * x, 2))) AS s FROM k, f2 GROUP BY a, b, n)
+      SELECT count(*) AS n_pairs, count(*) FILTER (abs(y - a - b * x) <= 3.0 * s) AS n_within_gate, any_value(n) AS n_fitted, round(any_value(a), 4) AS constant, round(any_value(b), 4) AS slope, round(any_value(s), 4) AS spread FROM q, s2""",
     "official_recall": _evidence() + "SELECT CASE WHEN g.g IS NULL THEN 'no primary' WHEN h.mag IS NULL THEN 'no secondary' WHEN abs(g.g - h.mag) <= 0.5 THEN 'far, alike' ELSE 'far, unlike' END AS why, count(*) AS n FROM o LEFT JOIN g ON g.id = o.gaia_source_id LEFT JOIN h ON h.id = o.hip_source_id WHERE NOT EXISTS (FROM ev WHERE gid = o.gaia_source_id AND hid = o.hip_source_id) GROUP BY 1",
     "neighbourhood_overlap": _evidence() + "SELECT decision, recommended_action, innb AS in_official_neighbourhood, NOT innb AND anynb AS official_neighbourhood_conflict, count(*) AS n FROM ev GROUP BY ALL",
     "separation_thresholds": _evidence() + "SELECT v.gate, " + ", ".join(f"count(*) FILTER (sep <= {s}) AS within_{str(s).replace('.', 'p')}" for s in (0.05, 0.1, 0.25, 0.5, 1.0, 2.0, 5.0)) + " FROM ev JOIN (VALUES ('none', 99.0), ('1.0', 1.0), ('0.5', 0.5), ('0.25', 0.25)) v(gate, lim) ON dm <= lim GROUP BY 1",

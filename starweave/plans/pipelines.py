@@ -149,11 +149,7 @@ def review_candidates(gaia: DataFrame, hip: DataFrame, official: DataFrame, supp
     parallax_error and whatever else their flags can use."""
     out = None
     for name, df, flags, key, value in (("gaia", gaia, co.survey_flags, "gaia_source_id", "hip_source_id"), ("hip", hip, co.catalogue_flags, "hip_source_id", "gaia_source_id")):
-        rated, rows = co.with_quality(df, flags), None
-        for cohort, metric, ascending in COHORTS:
-            some = rated.where(F.col("parallax") > 0) if cohort == "nearest" else rated
-            top = co.top_cohort(some, cohort, metric, ascending, size)
-            rows = top if rows is None else rows.unionByName(top, allowMissingColumns=True)
+        rows = co.top_cohorts(co.with_quality(df, flags), COHORTS, size)
         one = co.with_context(co.roll_up(rows, KEPT), key, value, official, supplemental, neighbourhood).withColumn("catalog_name", F.lit(name))
         out = one if out is None else out.unionByName(one)
     return out

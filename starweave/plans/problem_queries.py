@@ -20,16 +20,11 @@ def p1_found(spark: SparkSession, sf: str) -> DataFrame:
     return evidence.unionByName(scores)
 
 
-def p1_value_counts_whole(spark: SparkSession, sf: str) -> DataFrame:
+def p1_value_counts(spark: SparkSession, sf: str) -> DataFrame:
     """How often each value stands in each of the four fields, and its first place."""
     return p1_found(spark, sf).groupBy("table_name", "field_name", "item_value").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first_pos"))
 
 
-def p1_value_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """The same without counterpart_ids."""
-    return p1_value_counts_whole(spark, sf).where(F.col("field_name") != "counterpart_ids")
-
-
 def _orphans(spark: SparkSession, sf: str) -> DataFrame:
     evidence = table(spark, sf, "match_evidence").select(F.lit("match_evidence").alias("from_table"), F.col("evidence_id").alias("record_id"), F.lit("raw_hip").alias("target"), parse_id("gaia_official_hip_source_id").alias("key"), F.col("recorded_at").alias("ref_time"))
     outliers = table(spark, sf, "magnitude_outliers").select(F.lit("magnitude_outliers").alias("from_table"), F.col("outlier_id").alias("record_id"), F.col("hip_source_id").alias("key"), F.col("reported_at").alias("ref_time"), "has_processed_hip_row")
@@ -68,7 +63,7 @@ def p4_near_counts(spark: SparkSession, sf: str) -> DataFrame:
     return _near(spark, sf).groupBy("hip_source_id").agg(F.count(F.lit(1)).alias("n_gaia"), F.round(F.min("sep_arcsec"), 4).alias("nearest_arcsec"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_value_counts, p1_value_counts_whole, p3_found, p3_report, p4_found, p4_near_counts)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_value_counts, p3_found, p3_report, p4_found, p4_near_counts)}
 
 _SPLIT = r"""
 SELECT table_name, record_id, field_name, CAST(pos AS INTEGER) AS pos,
@@ -115,10 +110,9 @@ near AS (SELECT h.id AS hip_source_id, g.id AS gaia_source_id,
 
 ORACLES = {
     "p1_found": _SPLIT,
-    "p1_value_counts": f"SELECT table_name, field_name, item_value, count(*) AS n, min(pos) AS first_pos FROM ({_SPLIT}) WHERE field_name <> 'counterpart_ids' GROUP BY ALL",
     "p3_found": _ORPHANS + "SELECT from_table, record_id, target AS target_table, k AS hip_source_id, status, strftime(t, '%Y-%m') AS ref_month FROM found WHERE status IS NOT NULL",
     "p3_report": _ORPHANS + "SELECT from_table, target AS target_table, strftime(t, '%Y-%m') AS ref_month, status, count(*) AS n_references, count(DISTINCT k) AS n_keys FROM found WHERE status IS NOT NULL GROUP BY ALL",
     "p4_found": _NEAR + "SELECT hip_source_id, gaia_source_id FROM near WHERE sep <= 8",
     "p4_near_counts": _NEAR + "SELECT hip_source_id, count(*) AS n_gaia, round(min(sep), 4) AS nearest_arcsec FROM near WHERE sep <= 8 GROUP BY 1",
 }
-ORACLES["p1_value_counts_whole"] = f"SELECT table_name, field_name, item_value, count(*) AS n, min(pos) AS first_pos FROM ({_SPLIT}) GROUP BY ALL"
+ORACLES["p1_value_counts"] = f"SELECT table_name, field_name, item_value, count(*) AS n, min(pos) AS first_pos FROM ({_SPLIT}) GROUP BY ALL"

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,8 +17,6 @@ from starweave.session import materialise
 from starweave.sources.tables import table
 
 KEEP = ["mag", "quality_flags", "quality_flag_count", "pm_total_masyr", "r_pc_parallax", "parallax_frac_error"]
-#: Cohort size of the queries that have it in their SQL; the ``_whole`` ones take the operator's COHORT_SIZE.
-COHORT_ROWS = 60
 #: Cohorts of each catalogue: name, metric, ascending.
 SURVEY_COHORTS = (("brightest", "mag", True), ("nearest", "parallax", False))
 CATALOGUE_COHORTS = (("brightest", "mag", True), ("nearest", "parallax", False), ("high_pm", "pm_total_masyr", False))
@@ -38,18 +34,9 @@ def catalogue(spark: SparkSession, sf: str) -> DataFrame:
     return co.with_quality(latest_values(table(spark, sf, "raw_hip"), "hip", cols, "loaded_at"), co.catalogue_flags)
 
 
-def _cohorts(df: DataFrame, kinds, size: int) -> DataFrame:
-    out = None
-    for name, metric, ascending in kinds:
-        rows = df.where(F.col("parallax") > 0) if name == "nearest" else df
-        one = co.top_cohort(rows, name, metric, ascending, size)
-        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
-    return out
-
-
-def cohort_rows(spark: SparkSession, sf: str, size: int = COHORT_ROWS) -> DataFrame:
+def cohort_rows(spark: SparkSession, sf: str, size: int = co.COHORT_SIZE) -> DataFrame:
     """All cohorts of both catalogues with their ranks."""
-    parts = [_cohorts(survey(spark, sf), SURVEY_COHORTS, size).withColumn("catalog_name", F.lit("gaia")), _cohorts(catalogue(spark, sf), CATALOGUE_COHORTS, size).withColumn("catalog_name", F.lit("hip"))]
+    parts = [co.top_cohorts(survey(spark, sf), SURVEY_COHORTS, size).withColumn("catalog_name", F.lit("gaia")), co.top_cohorts(catalogue(spark, sf), CATALOGUE_COHORTS, size).withColumn("catalog_name", F.lit("hip"))]
     cols = ["catalog_name", F.col("id").alias("source_id"), "cohort", "cohort_rank", "quality_flags", "quality_flag_count", "r_pc_parallax", "parallax_frac_error"]
     return mq.rounded(parts[0].select(*cols).unionByName(parts[1].select(*cols)), 5)
 
@@ -58,41 +45,35 @@ def _candidates(spark: SparkSession, sf: str, size: int) -> DataFrame:
     """Rolled-up candidates of both catalogues with their cross-match context."""
     official, near = mq.official(spark, sf), mq.neighbourhood(spark, sf)
     local = materialise(supplemental_map(mq.evidence(spark, sf)))
-    g, h = co.roll_up(_cohorts(survey(spark, sf), SURVEY_COHORTS, size), KEEP), co.roll_up(_cohorts(catalogue(spark, sf), CATALOGUE_COHORTS, size), KEEP)
+    g, h = co.roll_up(co.top_cohorts(survey(spark, sf), SURVEY_COHORTS, size), KEEP), co.roll_up(co.top_cohorts(catalogue(spark, sf), CATALOGUE_COHORTS, size), KEEP)
     g = co.with_context(g, "gaia_source_id", "hip_source_id", official, local, near).withColumn("catalog_name", F.lit("gaia"))
     h = co.with_context(h, "hip_source_id", "gaia_source_id", official, local, near).withColumn("catalog_name", F.lit("hip"))
     return g.unionByName(h)
 
 
-def review_candidates(spark: SparkSession, sf: str, size: int = COHORT_ROWS) -> DataFrame:
+def review_candidates(spark: SparkSession, sf: str, size: int = co.COHORT_SIZE) -> DataFrame:
     cols = ["catalog_name", F.col("id").alias("source_id"), "cohorts", "cohort_ranks", "quality_flags", "quality_flag_count", "official_ids", "supplemental_ids", "official_neighbourhood_ids", "counterpart_ids", "has_any_gaia_hip_match"]
     return _candidates(spark, sf, size).select(*cols)
 
 
-def candidate_flag_counts(spark: SparkSession, sf: str, size: int = COHORT_ROWS) -> DataFrame:
+def candidate_flag_counts(spark: SparkSession, sf: str, size: int = co.COHORT_SIZE) -> DataFrame:
     return co.flag_counts(_candidates(spark, sf, size), ["catalog_name"])
 
 
-def candidate_links(spark: SparkSession, sf: str, size: int = COHORT_ROWS) -> DataFrame:
+def candidate_links(spark: SparkSession, sf: str, size: int = co.COHORT_SIZE) -> DataFrame:
     """Official pairs with both ends among the candidates."""
-    return co.linked_pairs(mq.official(spark, sf), _cohorts(survey(spark, sf), SURVEY_COHORTS, size), _cohorts(catalogue(spark, sf), CATALOGUE_COHORTS, size))
+    return co.linked_pairs(mq.official(spark, sf), co.top_cohorts(survey(spark, sf), SURVEY_COHORTS, size), co.top_cohorts(catalogue(spark, sf), CATALOGUE_COHORTS, size))
 
 
-def priority_scores(spark: SparkSession, sf: str, size: int = COHORT_ROWS) -> DataFrame:
+def priority_scores(spark: SparkSession, sf: str, size: int = co.COHORT_SIZE) -> DataFrame:
     return mq.rounded(sc.score_candidates(_candidates(spark, sf, size)), 7, r_pc_parallax=5, pm_total_masyr=5)
 
 
-def priority_tiers(spark: SparkSession, sf: str, size: int = COHORT_ROWS) -> DataFrame:
+def priority_tiers(spark: SparkSession, sf: str, size: int = co.COHORT_SIZE) -> DataFrame:
     return sc.score_candidates(_candidates(spark, sf, size)).groupBy("catalog_name", "priority_tier").agg(F.count(F.lit(1)).alias("n"))
 
 
 def rescored_tiers(spark: SparkSession, sf: str) -> DataFrame:
-    """Quality scores from the recorded flags, wherever they are cleanly packed, by tier."""
-    rows = table(spark, sf, "review_scores").dropDuplicates(["review_id"]).where(F.col("quality_flags").rlike("^[a-z0-9_;]+$"))
-    return rows.groupBy("priority_tier").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(sc.quality_score(F.col("quality_flags"))), 3).alias("quality_total"))
-
-
-def rescored_tiers_whole(spark: SparkSession, sf: str) -> DataFrame:
     """Quality scores from the recorded flags of every review, however they are packed, by tier."""
     rows = table(spark, sf, "review_scores").dropDuplicates(["review_id"])
     flags = explode_packed_fields(rows, "review_id", ["quality_flags"], "review_scores")
@@ -102,11 +83,9 @@ def rescored_tiers_whole(spark: SparkSession, sf: str) -> DataFrame:
     return scored.groupBy("priority_tier").agg(F.count(F.lit(1)).alias("n"), F.round(F.coalesce(F.sum("points"), F.lit(0.0)), 3).alias("quality_total"))
 
 
-SIZED = (cohort_rows, review_candidates, candidate_flag_counts, candidate_links, priority_scores, priority_tiers)
-QUERIES = {f.__name__: f for f in (*SIZED, rescored_tiers, rescored_tiers_whole)}
-QUERIES |= {f"{f.__name__}_whole": partial(f, size=co.COHORT_SIZE) for f in SIZED}
+QUERIES = {f.__name__: f for f in (cohort_rows, review_candidates, candidate_flag_counts, candidate_links, priority_scores, priority_tiers, rescored_tiers)}
 
-_N = COHORT_ROWS
+_N = co.COHORT_SIZE
 _FLAGS_G = "concat_ws(';', CASE WHEN abs(e_plx) / abs(nullif(plx, 0)) > 0.1 THEN 'parallax_frac_error_gt_0p1' END, CASE WHEN plx <= 0 THEN 'non_positive_parallax' END, CASE WHEN bp IS NULL OR rp IS NULL THEN 'missing_bp_or_rp' END)"
 _FLAGS_H = "concat_ws(';', CASE WHEN abs(e_plx) / abs(nullif(plx, 0)) > 0.1 THEN 'parallax_frac_error_gt_0p1' END, CASE WHEN plx <= 0 THEN 'non_positive_parallax' END, CASE WHEN sn <> 5 THEN 'hip_solution_type_not_5' END)"
 
@@ -155,9 +134,7 @@ ORACLES = {
     "candidate_links": f"WITH {mq.SOURCES}, {mq.MAPS}, {_RANKED} SELECT DISTINCT gaia_source_id, hip_source_id FROM o WHERE gaia_source_id IN (SELECT id FROM ranked WHERE cat = 'gaia') AND hip_source_id IN (SELECT id FROM ranked WHERE cat = 'hip')",
     "priority_scores": _CANDIDATES + "SELECT CAST(pr AS INTEGER) AS priority_rank, ps AS priority_score, tier AS priority_tier, cat AS catalog_name, CAST(id AS VARCHAR) AS source_id, cohorts, ranks AS cohort_ranks, CAST(n AS INTEGER) AS cohort_count, cs AS cohort_score, vs AS visibility_score, CAST(qs AS DOUBLE) AS quality_score, gs AS crossmatch_gap_score, why AS priority_reasons, flags AS quality_flags, CAST(nf AS INTEGER) AS quality_flag_count, ho AS has_official_best_neighbour, hs AS has_fis_supplemental_match, ha AS has_any_gaia_hip_match, ni AS official_neighbourhood_ids, ci AS counterpart_ids, round(mag, 7) AS apparent_mag, round(r, 5) AS r_pc_parallax, round(pm, 5) AS pm_total_masyr FROM s4",
     "priority_tiers": _CANDIDATES + "SELECT cat AS catalog_name, tier AS priority_tier, count(*) AS n FROM s4 GROUP BY ALL",
-    "rescored_tiers": "SELECT priority_tier, count(*) AS n, CAST(round(sum(q), 3) AS DOUBLE) AS quality_total FROM (SELECT review_id, any_value(priority_tier) AS priority_tier, least(30.0, any_value(list_sum(list_transform(string_split(quality_flags, ';'), lambda f: CASE f " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in sc.FLAG_WEIGHTS.items()) + " ELSE 0.0 END)))) AS q FROM review_scores WHERE regexp_matches(quality_flags, '^[a-z0-9_;]+$') GROUP BY 1) GROUP BY 1",
 }
-ORACLES |= {f"{f.__name__}_whole": ORACLES[f.__name__].replace(f"rk <= {_N}", f"rk <= {co.COHORT_SIZE}") for f in SIZED}
-ORACLES["rescored_tiers_whole"] = f"""SELECT priority_tier, count(*) AS n, CAST(round(coalesce(sum(q), 0), 3) AS DOUBLE) AS quality_total FROM (SELECT review_id, any_value(priority_tier) AS priority_tier FROM review_scores GROUP BY 1)
+ORACLES["rescored_tiers"] = f"""SELECT priority_tier, count(*) AS n, CAST(round(coalesce(sum(q), 0), 3) AS DOUBLE) AS quality_total FROM (SELECT review_id, any_value(priority_tier) AS priority_tier FROM review_scores GROUP BY 1)
   LEFT JOIN (SELECT record_id AS review_id, least(30.0, sum(CASE item_value {" ".join(f"WHEN '{k}' THEN {v}" for k, v in sc.FLAG_WEIGHTS.items())} ELSE 0.0 END)) AS q
     FROM ({pq.ORACLES["p1_found"]}) WHERE field_name = 'quality_flags' GROUP BY 1) USING (review_id) GROUP BY 1"""

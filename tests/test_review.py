@@ -1,8 +1,11 @@
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from starweave.operators.colour_fit import fit_polynomial, with_colour_residual
+from starweave.operators.quantiles import quantiles_by
 from starweave.functions.numeric import parse_id
 from starweave.operators import cohorts as co
 from starweave.operators import scoring as sc
@@ -80,20 +83,58 @@ def test_sinks(spark, tmp_path):
     with pytest.raises(Exception, match="already exists"):
         write_parquet(df, str(tmp_path / "p"))
     write_parquet(df, str(tmp_path / "p"), overwrite=True)
-    write_report({"b": 1, "a": [2]}, str(tmp_path / "r.json"))
+    write_report(spark, {"b": 1, "a": [2]}, str(tmp_path / "r.json"))
     assert json.loads((tmp_path / "r.json").read_text()) == {"a": [2], "b": 1}
     with pytest.raises(FileExistsError):
-        write_report({}, str(tmp_path / "r.json"))
+        write_report(spark, {}, str(tmp_path / "r.json"))
 
 
 def test_whole_cohorts_rank_up_to_cohort_size(spark):
-    had = {(r.catalog_name, r.cohort): r.n for r in review_queries.QUERIES["cohort_rows_whole"](spark, DATA).groupBy("catalog_name", "cohort").agg(F.max("cohort_rank").alias("n")).collect()}
+    had = {(r.catalog_name, r.cohort): r.n for r in review_queries.QUERIES["cohort_rows"](spark, DATA).groupBy("catalog_name", "cohort").agg(F.max("cohort_rank").alias("n")).collect()}
     bright = review_queries.survey(spark, DATA).where("mag IS NOT NULL").count()
-    assert bright > review_queries.COHORT_ROWS and had["gaia", "brightest"] == min(bright, co.COHORT_SIZE)
+    assert had["gaia", "brightest"] == min(bright, co.COHORT_SIZE)
+
+
+def test_cohorts_in_one_pass_equal_single_ones(spark):
+    rng = np.random.default_rng(3)
+    rows = [(k, float(rng.integers(0, 40)) if k % 7 else None, float(rng.integers(-5, 40)) if k % 5 else float("nan")) for k in range(400)]
+    df = spark.createDataFrame(rows, "id long, mag double, parallax double").withColumn("order", F.lit("clash"))
+    for size in (1, 30, 1000):
+        want = {(r.id, r.cohort, r.cohort_rank) for d in (co.top_cohort(df, "brightest", "mag", True, size), co.top_cohort(df.where("parallax > 0"), "nearest", "parallax", False, size)) for r in d.collect()}
+        assert {(r.id, r.cohort, r.cohort_rank) for r in co.top_cohorts(df, (("brightest", "mag", True), ("nearest", "parallax", False)), size).collect()} == want
+
+
+def test_quantiles_by_ranges_equal_the_exact_ones(spark):
+    rng = np.random.default_rng(8)
+    rows = [(None if k % 11 == 0 else f"g{k % 3}", float(rng.choice([1.5, 2.5, rng.normal()])), None if k % 4 else float(k)) for k in range(3000)] + [("one", 7.0, None), ("none", None, float("nan"))]
+    df = spark.createDataFrame(rows, "g string, a double, b double").withColumn("range", F.lit(1)).withColumn("value", F.lit("x"))
+    at = (0.0, 0.1, 0.5, 0.99, 1.0)
+    got = {(r.g, r.measure, r.quantile): r.value for r in quantiles_by(df, ["g"], {"a": F.col("a"), "b": F.col("b")}, at).collect()}
+    want = {}
+    for r in df.groupBy("g").agg(*[F.percentile(F.when(~F.isnan(c), F.col(c)), F.array(*map(F.lit, at))).alias(c) for c in "ab"]).collect():
+        want |= {(r.g, c, q): v for c in "ab" if r[c] for q, v in zip(at, r[c], strict=True)}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    assert quantiles_by(df.limit(0), [], {"a": F.col("a")}, at).count() == 0
+
+
+def test_polynomial_equals_numpy_and_gates(spark):
+    rng = np.random.default_rng(2)
+    x = rng.uniform(-0.5, 3, 600)
+    y = 0.2 - 0.4 * x + 0.3 * x**2 - 0.05 * x**3 + rng.normal(0, 0.02, 600)
+    rows = [(float(a), float(b)) for a, b in zip(x, y, strict=True)]
+    schema = "x double, y double"
+    assert np.allclose(fit_polynomial(spark.createDataFrame(rows, schema), "x", "y", 3, rounds=1).coefficients, np.polyfit(x, y, 3)[::-1], atol=1e-6)
+    far = rows + [(1.0, 9.0)] * 30 + [(None, 1.0), (float("nan"), 1.0), (1.0, None)]
+    fit = fit_polynomial(spark.createDataFrame(far, schema), "x", "y", 3, rounds=6)
+    assert np.allclose(fit.coefficients, (0.2, -0.4, 0.3, -0.05), atol=0.03) and fit.n <= 600
+    rated = with_colour_residual(spark.createDataFrame(far, schema), "x", "y", fit)
+    assert rated.where("y = 9.0 AND within_colour_gate").isEmpty() and rated.where("colour_residual IS NULL").count() == 3
+    assert fit_polynomial(spark.createDataFrame([(2.0, 5.0)] * 3, schema), "x", "y").coefficients == (5.0, 0.0, 0.0, 0.0)
+    assert fit_polynomial(spark.createDataFrame([], schema), "x", "y").n == 0
 
 
 def test_whole_queries_leave_no_record_or_field_out(spark):
-    tiers = review_queries.QUERIES["rescored_tiers_whole"](spark, DATA).agg(F.sum("n")).first()[0]
+    tiers = review_queries.QUERIES["rescored_tiers"](spark, DATA).agg(F.sum("n")).first()[0]
     assert tiers == table(spark, DATA, "review_scores").select("review_id").distinct().count()
-    fields = problem_queries.QUERIES["p1_value_counts_whole"](spark, DATA).select("field_name").distinct().collect()
+    fields = problem_queries.QUERIES["p1_value_counts"](spark, DATA).select("field_name").distinct().collect()
     assert {r.field_name for r in fields} == {"reasons", "quality_flags", "cohort_ranks", "counterpart_ids"}
