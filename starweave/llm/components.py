@@ -7,7 +7,7 @@ least nodes of their components (Kiveris et al., "Connected Components in MapRed
 
 Each step is one aggregation (minimum per node, combined on the map side) and one join of the edges
 with those minima. A node with a large share of all edges is found from the aggregation's counts,
-and its edges are spread over salts in the join. No group is ever gathered in one task. Each step is
+and its edges are spread in the join over as many salts as they need. No group is ever gathered in one task. Each step is
 written to the shared folder, so neither lineage nor lost executors matter.
 
 Defined results: rows with a NULL end are no edges; a self-link gives its node a group of its own
@@ -19,22 +19,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from starweave.operators.skew import hot_keys, join_hot
+from starweave.operators.skew import SALT_ROWS, hot_salts, join_hot
 from starweave.session import discard, materialise
 
 
-def _minima(edges: DataFrame, least: Column) -> tuple[DataFrame, dict]:
-    """Per ``u`` the least node around it, and the hot nodes among them."""
+def _minima(edges: DataFrame, least: Column, rows: int) -> tuple[DataFrame, DataFrame | None]:
+    """Per ``u`` the least node around it, and the salts of the hot nodes among them."""
     seen = Observation()
     stats = edges.groupBy("u").agg(least.alias("m"), F.count(F.lit(1)).alias("n"))
-    stats = materialise(stats.observe(seen, F.max("n").alias("most"), F.sum("n").alias("total")))
-    hot = hot_keys(stats, "u", "n") if (seen.get["most"] or 0) >= 50_000 else {}
-    return stats, hot
+    stats = materialise(stats.observe(seen, F.max("n").alias("most")))
+    return stats, hot_salts(stats, "u", "n", rows) if (seen.get["most"] or 0) > rows else None
 
 
-def _star(edges: DataFrame, around: DataFrame, moved: DataFrame, with_centre: bool) -> tuple[DataFrame, dict]:
+def _star(around: DataFrame, moved: DataFrame, with_centre: bool, rows: int) -> tuple[DataFrame, dict]:
     """``around``: edges whose minima count; ``moved``: edges whose ``v`` is connected to the minimum."""
-    minima, hot = _minima(around, F.least(F.min("v"), F.col("u")))
+    minima, hot = _minima(around, F.least(F.min("v"), F.col("u")), rows)
     out = join_hot(moved, minima.select("u", "m"), "u", hot, salt_by="v").select(F.col("v").alias("u"), F.col("m").alias("v"))
     if with_centre:
         out = out.unionByName(minima.select("u", F.col("m").alias("v")))
@@ -46,7 +45,7 @@ def _star(edges: DataFrame, around: DataFrame, moved: DataFrame, with_centre: bo
     return out, seen.get
 
 
-def connected_components(edges: DataFrame, a: str, b: str, max_rounds: int = 100) -> DataFrame:
+def connected_components(edges: DataFrame, a: str, b: str, max_rounds: int = 100, salt_rows: int = SALT_ROWS) -> DataFrame:
     """(node, component): every node of an edge with the least node of its component."""
     pairs = edges.select(F.col(a).cast("bigint").alias("a"), F.col(b).cast("bigint").alias("b")).where(F.col("a").isNotNull() & F.col("b").isNotNull())
     directed = materialise(pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
@@ -55,8 +54,8 @@ def connected_components(edges: DataFrame, a: str, b: str, max_rounds: int = 100
     owned = None
     for _ in range(max_rounds):
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large, _ = _star(current, both, both.where(F.col("v") > F.col("u")), with_centre=False)
-        small, sign = _star(large, large, large, with_centre=True)
+        large, _ = _star(both, both.where(F.col("v") > F.col("u")), False, salt_rows)
+        small, sign = _star(large, large, True, salt_rows)
         discard(large)
         if owned is not None:
             discard(owned)

@@ -2,7 +2,6 @@ import random
 
 from pyspark.sql import functions as F
 
-from starweave.llm import components
 from starweave.llm.components import connected_components
 
 
@@ -22,23 +21,21 @@ def union_find(pairs):
     return {x: find(x) for x in list(parent)}
 
 
-def run(spark, pairs):
+def run(spark, pairs, **how):
     df = spark.createDataFrame(pairs, "a long, b long").withColumn("node", F.lit("x")).withColumn("u", F.lit(1))
-    rows = connected_components(df, "a", "b").collect()
+    rows = connected_components(df, "a", "b", **how).collect()
     assert len(rows) == len({r.node for r in rows})
     return {r.node: r.component for r in rows}
 
 
-def test_random_graph_chain_and_hub(spark, monkeypatch):
+def test_random_graph_chain_and_hub(spark):
     rng = random.Random(2)
     pairs = [(rng.randint(0, 400), rng.randint(0, 400)) for _ in range(250)]
     pairs += [(1000 + i, 1001 + i) for i in range(60)]
     pairs += [(5000, 6000 + i) for i in range(200)]
     pairs += [(9, 9), (7777, 7777), (None, 3), (4, None), (-5, 2**62)] + pairs[:30] + [(b, a) for a, b in pairs[:30]]
-    monkeypatch.setattr(components, "hot_keys", lambda stats, key, n: {r[key]: r[n] for r in stats.where("n >= 100").collect()})
-    original = components._minima
-    monkeypatch.setattr(components, "_minima", lambda e, least: (lambda s: (s[0], components.hot_keys(s[0], "u", "n")))(original(e, least)))
     assert run(spark, pairs) == union_find(pairs)
+    assert run(spark, pairs, salt_rows=20) == union_find(pairs)
 
 
 def test_no_edges(spark):
