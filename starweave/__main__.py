@@ -10,7 +10,7 @@ from pyspark.errors import PySparkException
 
 from starweave.operators.match_audit import LIMITS, AuditLimits
 from starweave.plans import pipelines
-from starweave.session import build_session
+from starweave.session import build_session, discard_all
 
 
 def parser() -> argparse.ArgumentParser:
@@ -52,6 +52,8 @@ def main(argv: list[str] | None = None) -> int:
     except (OSError, ValueError, PySparkException) as e:
         print(f"starweave: {e}", file=sys.stderr)
         return 1
+    finally:
+        discard_all(spark)
     print(json.dumps(found, indent=2, sort_keys=True, default=str))
     return 0
 

@@ -96,7 +96,20 @@ def manual_rows(spark: SparkSession, sf: str) -> DataFrame:
     return mq.rounded(manual_queue(e, issues(spark, sf)).select(cols), 4)
 
 
-QUERIES = {f.__name__: f for f in (audit_evidence, audit_diagnostics, audit_histogram, audit_quality_bins, audit_policies, audit_quantiles, audit_cdf, audit_categories, audit_supplemental, review_rows, manual_rows)}
+def conflict_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Official pairs whose processed distances differ by more than half, as issues in the manual queue."""
+    g = processed_gaia(spark, sf).select(F.col("source_id").alias("gaia_source_id"), F.col("r_pc").alias("gaia_r_pc")).where("gaia_r_pc IS NOT NULL")
+    h = processed_hip(spark, sf).select(F.col("source_id").alias("hip_source_id"), F.col("r_pc").alias("hip_r_pc")).where("hip_r_pc > 0")
+    pairs = mq.official(spark, sf).join(g, "gaia_source_id").join(h, "hip_source_id")
+    off = F.abs(F.col("gaia_r_pc") - F.col("hip_r_pc")) / F.greatest("gaia_r_pc", "hip_r_pc")
+    bad = pairs.withColumn("distance_frac_diff", off).where(off > 0.5).withColumn("source_id", F.col("hip_source_id").cast("string"))
+    marks = {"issue_type": "matched_pair_conflict", "severity": "medium", "source": "hip", "reasons": "distance_conflict"}
+    bad = bad.withColumns({k: F.lit(v) for k, v in marks.items()}).withColumnRenamed("angular_distance", "angular_distance_arcsec")
+    cols = ["issue_type", "severity", "recommended_action", "reasons", "source", "source_id", "gaia_source_id", "hip_source_id", "separation_arcsec", "distance_frac_diff", "gaia_r_pc", "hip_r_pc"]
+    return mq.rounded(manual_queue(spark.createDataFrame([], "decision string, hip_source_id string"), bad).select(cols), 4, separation_arcsec=3)
+
+
+QUERIES = {f.__name__: f for f in (conflict_rows, audit_evidence, audit_diagnostics, audit_histogram, audit_quality_bins, audit_policies, audit_quantiles, audit_cdf, audit_categories, audit_supplemental, review_rows, manual_rows)}
 
 _L = mq._last
 _KEY = "TRY_CAST(regexp_extract(regexp_replace(source_id, '(?i)^\\s*gaia\\s*e?dr\\s*[0-9]+($|[^0-9])', '\\1'), '([0-9]+)[^0-9]*$', 1) AS BIGINT)"
@@ -122,6 +135,9 @@ _QUANT = ", ".join(f"({float(q)})" for q in ma.QUANTILES)
 _ISSUES = "SELECT CAST(id AS VARCHAR) AS source_id, ra, dec, r FROM hq WHERE r > 2000 OR ma < -6"
 
 ORACLES = {
+    "conflict_rows": _AUDIT + """SELECT 'matched_pair_conflict' AS issue_type, 'medium' AS severity, 'create_or_review_override' AS recommended_action, 'distance_conflict' AS reasons, 'hip' AS source, CAST(hip_source_id AS VARCHAR) AS source_id, CAST(gaia_source_id AS VARCHAR) AS gaia_source_id,
+      CAST(hip_source_id AS VARCHAR) AS hip_source_id, round(CAST(angular_distance AS DOUBLE), 3) AS separation_arcsec, round(abs(pg.r - hq.r) / greatest(pg.r, hq.r), 4) AS distance_frac_diff, round(pg.r, 4) AS gaia_r_pc, round(hq.r, 4) AS hip_r_pc
+      FROM o JOIN pg ON pg.id = gaia_source_id JOIN hq ON hq.id = hip_source_id WHERE hq.r > 0 AND abs(pg.r - hq.r) / greatest(pg.r, hq.r) > 0.5""",
     "audit_evidence": _AUDIT + """SELECT gid AS gaia_source_id, hid AS hip_source_id, decision, recommended_action, severity, reasons, round(sep, 4) AS separation_arcsec, round(dm, 5) AS apparent_mag_delta, round(ratio, 5) AS distance_ratio, round(frac, 5) AS distance_frac_diff,
       round(gra, 5) AS gaia_ra_deg, round(gdec, 5) AS gaia_dec_deg, round(hra, 5) AS hip_ra_deg, round(hdec, 5) AS hip_dec_deg, round(gr, 4) AS gaia_r_pc, round(hr, 4) AS hip_r_pc, round(gma, 5) AS gaia_mag_abs, round(hma, 5) AS hip_mag_abs, round(gm, 5) AS gaia_apparent_mag, round(hm, 5) AS hip_apparent_mag,
       round(gq, 7) AS gaia_astrometry_quality, round(hq, 7) AS hip_astrometry_quality, CAST(NULL AS DOUBLE) AS gaia_photometry_quality, round(hpq, 7) AS hip_photometry_quality, CAST(NULL AS DOUBLE) AS gaia_ruwe, round(gg, 5) AS gaia_phot_g_mean_mag, CAST(hsn AS DOUBLE) AS hip_solution_type, round(hhp, 5) AS hip_hpmag,

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starweave.functions.geometry import separation_arcsec
+from starweave.functions.geometry import distance_pc, separation_arcsec
 from starweave.functions.healpix import nested_cell
-from starweave.functions.numeric import finite
+from starweave.functions.numeric import finite, finite_or_null
 from starweave.operators import match_evidence as me
 from starweave.operators.colour_fit import fit_polynomial, with_colour_residual
+from starweave.operators.latest import latest_values
 from starweave.operators.maps import combine_maps, normalise_map, repeated_ids, supplemental_map
+from starweave.operators.match_audit import with_external_distance
 from starweave.operators.quantiles import quantiles_by
 from starweave.sources.tables import table
 
@@ -62,6 +64,52 @@ def evidence_report(spark: SparkSession, sf: str) -> DataFrame:
     return me.match_report(evidence(spark, sf))
 
 
+def scan_report(spark: SparkSession, sf: str) -> DataFrame:
+    """What a raw match read, left out and found, in one row."""
+    n = F.count(F.lit(1))
+    e = evidence(spark, sf)
+    parts = [
+        (table(spark, sf, "raw_gaia"), {"gaia_rows_scanned": n, "gaia_ids": F.countDistinct("source_id")}), (gaia(spark, sf), {"gaia_sources": n}), (table(spark, sf, "raw_hip"), {"hip_rows_raw": n}), (hip(spark, sf), {"hip_rows_prepared": n}),
+        (official(spark, sf), {"official_rows": n}), (neighbourhood(spark, sf), {"official_neighbourhood_rows": n}),
+        (e, {"evidence_rows": n, "official_pairs_in_evidence": F.count_if("official_pair"), "official_pairs_confirmed": F.count_if(F.col("decision") == "official_confirmed"), "supplemental_rows": F.count_if(F.col("decision") == "supplemental_match")}),
+    ]
+    rows = None
+    for df, counts in parts:
+        one = df.agg(*[c.alias(k) for k, c in counts.items()])
+        rows = one if rows is None else rows.unionByName(one, allowMissingColumns=True)
+    out = rows.agg(*[F.max(c).alias(c) for c in rows.columns])
+    return out.withColumn("gaia_ids_skipped", F.col("gaia_ids") - F.col("gaia_sources"))
+
+
+def official_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """Official pairs with the survey's measures of their source."""
+    g = gaia(spark, sf).select(F.col("id").alias("gaia_source_id"), F.col("g").alias("gaia_apparent_mag"), (F.col("bp") - F.col("rp")).alias("gaia_bp_rp"), F.col("plx").alias("gaia_plx_mas"))
+    return rounded(official(spark, sf).select("gaia_source_id", "hip_source_id").join(g, "gaia_source_id"))
+
+
+def external_distances(spark: SparkSession, sf: str) -> DataFrame:
+    """Prepared catalogue entries that the processed catalogue has an eligible distance for, beside their own."""
+    other = table(spark, sf, "processed_hip").where(F.col("source") == "hip").select("source_id", F.col("r_pc").alias("external_r_pc"))
+    own = hip(spark, sf).select(F.col("id").alias("source_id"), distance_pc(F.col("plx")).alias("own_r_pc"))
+    return rounded(with_external_distance(own, other), 4)
+
+
+def magnitude_quantiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Quantiles of the difference of both magnitudes over all official pairs, as it is and without sign."""
+    at = (0.0, 0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99, 1.0)
+    return rounded(quantiles_by(_official_magnitudes(spark, sf), [], {"delta": F.col("delta"), "abs_delta": F.abs("delta")}, at), 6)
+
+
+def outlier_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Outliers with the columns that the raw and the processed catalogue have of them, and presence flags."""
+    f = finite_or_null
+    rows = table(spark, sf, "magnitude_outliers").select("outlier_id", "hip_source_id", "gaia_source_id").distinct()
+    h = latest_values(table(spark, sf, "raw_hip"), "hip", {"raw_hpmag": F.when(f("hpmag") < 50, F.col("hpmag")), "raw_bv": f("b_v"), "raw_plx_mas": f("plx")}, "loaded_at").withColumn("in_raw", F.lit(True))
+    p = latest_values(table(spark, sf, "processed_hip").where(F.col("source") == "hip"), "source_id", {"r_pc": f("r_pc"), "mag_abs": f("mag_abs"), "astrometry_quality": f("astrometry_quality"), "photometry_quality": f("photometry_quality")}, "loaded_at").withColumn("in_processed", F.lit(True))
+    both = rows.join(h.withColumnRenamed("id", "hip_source_id"), "hip_source_id", "left").join(p.withColumnRenamed("id", "hip_source_id"), "hip_source_id", "left")
+    return rounded(both.withColumns({n: F.coalesce(n, F.lit(False)) for n in ("in_raw", "in_processed")}), 6)
+
+
 def decision_counts(spark: SparkSession, sf: str) -> DataFrame:
     return evidence(spark, sf).groupBy("decision", "recommended_action", "severity").agg(F.count(F.lit(1)).alias("n"))
 
@@ -185,7 +233,7 @@ def recorded_separations(spark: SparkSession, sf: str) -> DataFrame:
     return e.select("evidence_id", near.alias("agreement")).distinct().groupBy("agreement").agg(F.count(F.lit(1)).alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (prepared_secondary, raw_evidence, gated_evidence, evidence_report, decision_counts, official_pairs, supplemental_pairs, combined_pairs, repeated_map_ids, repeated_official_ids, colour_fit, official_recall, neighbourhood_overlap, separation_thresholds, outlier_presence, sky_density, sky_cells, footprint, magnitude_recovery, recorded_separations)}
+QUERIES = {f.__name__: f for f in (prepared_secondary, raw_evidence, gated_evidence, evidence_report, scan_report, official_sources, external_distances, magnitude_quantiles, outlier_rows, decision_counts, official_pairs, supplemental_pairs, combined_pairs, repeated_map_ids, repeated_official_ids, colour_fit, official_recall, neighbourhood_overlap, separation_thresholds, outlier_presence, sky_density, sky_cells, footprint, magnitude_recovery, recorded_separations)}
 
 
 def _mod360(x: str) -> str:
@@ -255,6 +303,15 @@ ORACLES = {
       sep <= 0.25 AS within_tight_sky_threshold, coalesce(r3 <= 1.0, false) AS within_rendered_distance_threshold, CAST(goff AS VARCHAR) AS gaia_official_hip_source_id, CAST(hoff AS VARCHAR) AS hip_official_gaia_source_id FROM ev""",
     "gated_evidence": _evidence("abs(mag - g) <= 0.5") + "SELECT CAST(gid AS VARCHAR) AS gaia_source_id, CAST(hid AS VARCHAR) AS hip_source_id, decision, reasons, CAST(gsky AS INTEGER) AS gaia_sky_neighbour_count, CAST(hsky AS INTEGER) AS hip_sky_neighbour_count, CAST(gcand AS INTEGER) AS gaia_candidate_count, CAST(hcand AS INTEGER) AS hip_candidate_count, iso AS isolated_sky_pair, one AS one_to_one_candidate FROM ev",
     "evidence_report": _evidence() + "SELECT count(*) AS evidence_pairs, count(*) FILTER (decision = 'official_confirmed') AS official_confirmed, count(*) FILTER (decision = 'supplemental_match') AS supplemental_match, count(*) FILTER (decision = 'manual_review') AS manual_review, count(*) FILTER (decision = 'display_separate') AS display_separate, count(*) FILTER (opair) AS official_pairs_in_evidence, count(*) FILTER (one) AS one_to_one, count(*) FILTER (iso) AS isolated FROM ev",
+    "scan_report": _evidence() + """SELECT (SELECT count(*) FROM raw_gaia) AS gaia_rows_scanned, (SELECT count(DISTINCT source_id) FROM raw_gaia) AS gaia_ids, (SELECT count(*) FROM g) AS gaia_sources, (SELECT count(*) FROM raw_hip) AS hip_rows_raw, (SELECT count(*) FROM h) AS hip_rows_prepared, (SELECT count(*) FROM o) AS official_rows,
+      (SELECT count(*) FROM nb) AS official_neighbourhood_rows, count(*) AS evidence_rows, count(*) FILTER (opair) AS official_pairs_in_evidence, count(*) FILTER (decision = 'official_confirmed') AS official_pairs_confirmed, count(*) FILTER (decision = 'supplemental_match') AS supplemental_rows,
+      (SELECT count(DISTINCT source_id) FROM raw_gaia) - (SELECT count(*) FROM g) AS gaia_ids_skipped FROM ev""",
+    "official_sources": f"WITH {SOURCES}, {MAPS} SELECT gaia_source_id, hip_source_id, round(g.g, 6) AS gaia_apparent_mag, round(bp - rp, 6) AS gaia_bp_rp, round(plx, 6) AS gaia_plx_mas FROM o JOIN g ON g.id = gaia_source_id",
+    "external_distances": f"WITH {SOURCES} SELECT h.id AS source_id, round(CASE WHEN plx > 0 THEN 1000.0 / plx END, 4) AS own_r_pc, round(x.r, 4) AS external_r_pc FROM h JOIN (SELECT source_id, min(r_pc) AS r FROM processed_hip WHERE source = 'hip' AND isfinite(r_pc) AND r_pc > 0 GROUP BY 1) x ON x.source_id = h.id",
+    "magnitude_quantiles": f"WITH {SOURCES}, {MAPS}, d AS (SELECT g.g - h.mag AS d FROM o JOIN g ON g.id = gaia_source_id JOIN h ON h.id = hip_source_id), m AS (SELECT 'delta' AS measure, d AS v FROM d UNION ALL SELECT 'abs_delta', abs(d) FROM d) SELECT measure, CAST(q.q AS DOUBLE) AS quantile, round(list_extract(quantile_cont(v, [0.0, 0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99, 1.0]), CAST(any_value(q.k) AS INTEGER)), 6) AS value FROM m, (VALUES (0.0, 1), (0.01, 2), (0.05, 3), (0.25, 4), (0.5, 5), (0.75, 6), (0.95, 7), (0.99, 8), (1.0, 9)) q(q, k) GROUP BY measure, q.q",
+    "outlier_rows": f"""SELECT m.*, round(raw_hpmag, 6) AS raw_hpmag, round(raw_bv, 6) AS raw_bv, round(raw_plx_mas, 6) AS raw_plx_mas, round(r_pc, 6) AS r_pc, round(mag_abs, 6) AS mag_abs, round(aq, 6) AS astrometry_quality, round(pq, 6) AS photometry_quality, h.k IS NOT NULL AS in_raw, p.k IS NOT NULL AS in_processed
+      FROM (SELECT DISTINCT outlier_id, hip_source_id, gaia_source_id FROM magnitude_outliers) m LEFT JOIN (SELECT hip AS k, {_last("hpmag", " AND hpmag < 50")} AS raw_hpmag, {_last("b_v")} AS raw_bv, {_last("plx")} AS raw_plx_mas FROM raw_hip WHERE hip IS NOT NULL GROUP BY 1) h ON h.k = m.hip_source_id
+      LEFT JOIN (SELECT source_id AS k, {_last("r_pc")} AS r_pc, {_last("mag_abs")} AS mag_abs, {_last("astrometry_quality")} AS aq, {_last("photometry_quality")} AS pq FROM processed_hip WHERE source = 'hip' AND source_id IS NOT NULL GROUP BY 1) p ON p.k = m.hip_source_id""",
     "decision_counts": _evidence() + "SELECT decision, recommended_action, severity, count(*) AS n FROM ev GROUP BY ALL",
     "official_pairs": f"WITH {MAPS} SELECT gaia_source_id, hip_source_id, mapping_source, number_of_neighbours, round(CAST(angular_distance AS DOUBLE), 6) AS angular_distance FROM o",
     "supplemental_pairs": _evidence() + f"SELECT gaia_source_id, hip_source_id, mapping_source, CAST(number_of_neighbours AS SMALLINT) AS number_of_neighbours, round(CAST(angular_distance AS DOUBLE), 3) AS angular_distance FROM ({_SUPPLEMENT})",

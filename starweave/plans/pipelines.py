@@ -11,7 +11,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starweave.functions.numeric import finite
 from starweave.operators import cohorts as co
 from starweave.operators import match_audit as ma
 from starweave.operators import match_evidence as me
@@ -194,12 +193,6 @@ def run_review_files(spark: SparkSession, gaia: str, hip: str, official: str, su
     return run_review(spark, *sides, *(read_map(spark, p, None) for p in (official, supplemental, neighbourhood)), out, size, force)
 
 
-def with_external_distance(sources: DataFrame, distances: DataFrame, least: float = 0.0) -> DataFrame:
-    """Sources with the distance another table has for them, where that is finite and above ``least``: the eligible ones."""
-    eligible = distances.where(finite("external_r_pc") & (F.col("external_r_pc") > least)).groupBy("source_id").agg(F.min("external_r_pc").alias("external_r_pc"))
-    return sources.join(eligible, "source_id")
-
-
 def project_settings(path: str, required: tuple[str, ...]) -> dict:
     """The sections of a TOML project file; ValueError without one that is required."""
     with open(path, "rb") as f:

@@ -65,6 +65,11 @@ def candidate_links(spark: SparkSession, sf: str, size: int = co.COHORT_SIZE) ->
     return co.linked_pairs(mq.official(spark, sf), co.top_cohorts(survey(spark, sf), SURVEY_COHORTS, size), co.top_cohorts(catalogue(spark, sf), CATALOGUE_COHORTS, size))
 
 
+def candidate_link_count(spark: SparkSession, sf: str, size: int = co.COHORT_SIZE) -> DataFrame:
+    """How many official pairs have both ends among the candidates."""
+    return candidate_links(spark, sf, size).agg(F.count(F.lit(1)).alias("n_links"))
+
+
 def priority_scores(spark: SparkSession, sf: str, size: int = co.COHORT_SIZE) -> DataFrame:
     return mq.rounded(sc.score_candidates(_candidates(spark, sf, size)), 7, r_pc_parallax=5, pm_total_masyr=5)
 
@@ -83,7 +88,7 @@ def rescored_tiers(spark: SparkSession, sf: str) -> DataFrame:
     return scored.groupBy("priority_tier").agg(F.count(F.lit(1)).alias("n"), F.round(F.coalesce(F.sum("points"), F.lit(0.0)), 3).alias("quality_total"))
 
 
-QUERIES = {f.__name__: f for f in (cohort_rows, review_candidates, candidate_flag_counts, candidate_links, priority_scores, priority_tiers, rescored_tiers)}
+QUERIES = {f.__name__: f for f in (cohort_rows, review_candidates, candidate_flag_counts, candidate_links, candidate_link_count, priority_scores, priority_tiers, rescored_tiers)}
 
 _N = co.COHORT_SIZE
 _FLAGS_G = "concat_ws(';', CASE WHEN abs(e_plx) / abs(nullif(plx, 0)) > 0.1 THEN 'parallax_frac_error_gt_0p1' END, CASE WHEN plx <= 0 THEN 'non_positive_parallax' END, CASE WHEN bp IS NULL OR rp IS NULL THEN 'missing_bp_or_rp' END)"
@@ -132,6 +137,7 @@ ORACLES = {
     "review_candidates": _CANDIDATES + "SELECT cat AS catalog_name, id AS source_id, cohorts, ranks AS cohort_ranks, flags AS quality_flags, CAST(nf AS INTEGER) AS quality_flag_count, oi AS official_ids, si AS supplemental_ids, ni AS official_neighbourhood_ids, ci AS counterpart_ids, ha AS has_any_gaia_hip_match FROM s4",
     "candidate_flag_counts": _CANDIDATES + "SELECT cat AS catalog_name, flag, count(*) AS n FROM (SELECT cat, unnest(string_split(flags, ';')) AS flag FROM cand) WHERE flag <> '' GROUP BY ALL",
     "candidate_links": f"WITH {mq.SOURCES}, {mq.MAPS}, {_RANKED} SELECT DISTINCT gaia_source_id, hip_source_id FROM o WHERE gaia_source_id IN (SELECT id FROM ranked WHERE cat = 'gaia') AND hip_source_id IN (SELECT id FROM ranked WHERE cat = 'hip')",
+    "candidate_link_count": f"WITH {mq.SOURCES}, {mq.MAPS}, {_RANKED} SELECT count(DISTINCT (gaia_source_id, hip_source_id)) AS n_links FROM o WHERE gaia_source_id IN (SELECT id FROM ranked WHERE cat = 'gaia') AND hip_source_id IN (SELECT id FROM ranked WHERE cat = 'hip')",
     "priority_scores": _CANDIDATES + "SELECT CAST(pr AS INTEGER) AS priority_rank, ps AS priority_score, tier AS priority_tier, cat AS catalog_name, CAST(id AS VARCHAR) AS source_id, cohorts, ranks AS cohort_ranks, CAST(n AS INTEGER) AS cohort_count, cs AS cohort_score, vs AS visibility_score, CAST(qs AS DOUBLE) AS quality_score, gs AS crossmatch_gap_score, why AS priority_reasons, flags AS quality_flags, CAST(nf AS INTEGER) AS quality_flag_count, ho AS has_official_best_neighbour, hs AS has_fis_supplemental_match, ha AS has_any_gaia_hip_match, ni AS official_neighbourhood_ids, ci AS counterpart_ids, round(mag, 7) AS apparent_mag, round(r, 5) AS r_pc_parallax, round(pm, 5) AS pm_total_masyr FROM s4",
     "priority_tiers": _CANDIDATES + "SELECT cat AS catalog_name, tier AS priority_tier, count(*) AS n FROM s4 GROUP BY ALL",
 }

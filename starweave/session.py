@@ -69,16 +69,36 @@ def materialise(df: DataFrame) -> DataFrame:
     every executor can reach, so a lost executor costs at most the tasks that were running on it."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    _written(spark).add(path)
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._starweave_path = path
     return out
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def discard(df: DataFrame) -> None:
     """Delete what ``materialise`` wrote for ``df``; nothing may read it afterwards."""
     path = getattr(df, "_starweave_path", None)
     if path:
-        jvm = df.sparkSession._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
+        _delete(df.sparkSession, path)
+        _written(df.sparkSession).discard(path)
+
+
+def discard_all(spark: SparkSession) -> None:
+    """Delete every table that ``materialise`` wrote in this application and nobody deleted: for the end of a run, when its
+    results are written. Results that are still lazy read such tables."""
+    for path in sorted(_written(spark)):
+        _delete(spark, path)
+    _written(spark).clear()
+
+
+def _written(spark: SparkSession) -> set[str]:
+    context = spark.sparkContext
+    if not hasattr(context, "_starweave_written"):
+        context._starweave_written = set()
+    return context._starweave_written

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starweave.__main__ import main, parser
-from starweave.operators.match_audit import AUDIT_COLUMNS
+from starweave.operators.match_audit import AUDIT_COLUMNS, with_external_distance
 from starweave.plans import pipelines as pl
 from starweave.plans import review_queries as rq
 from starweave.plans.audit_queries import issues, processed_gaia, processed_hip
@@ -130,7 +130,7 @@ def test_bytes_manifest_settings_and_distances(spark, tmp_path):
     with pytest.raises(ValueError, match="gaia"):
         pl.project_settings(str(tmp_path / "p.toml"), ("hip", "gaia"))
     far = spark.createDataFrame([(1, 5.0), (1, 4.0), (2, float("nan")), (3, None), (4, -1.0), (9, 2.0)], "source_id long, external_r_pc double")
-    got = pl.with_external_distance(spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "d")], "source_id long, name string"), far)
+    got = with_external_distance(spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "d")], "source_id long, name string"), far)
     assert [tuple(r) for r in got.collect()] == [(1, "a", 4.0)]
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from starweave.operators.latest import latest_values
 from starweave.operators.rules import Rule, decide
 from starweave.operators.skew import batch_count, hot_salts, join_hot
-from starweave.session import discard, materialise, shared_folder, spread
+from starweave.session import _written, discard, materialise, shared_folder, spread
 
 
 def test_hot_keys_get_salts_by_their_rows(spark):
@@ -38,6 +38,11 @@ def test_materialise_cuts_and_discards(spark):
     assert "Range" not in df._jdf.queryExecution().toString()
     discard(df)
     discard(spark.range(1))
+    kept = {*_written(spark)}
+    left = materialise(spark.range(3))
+    assert len(_written(spark) - kept) == 1
+    discard(left)
+    assert _written(spark) == kept
     assert spread(spark.range(10).coalesce(1)).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
 
 
