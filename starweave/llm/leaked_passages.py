@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starweave.session import materialise, spread
+from starweave.session import discard, materialise, spread
 
 PASSAGE, DOC_STRIDE, ITEM_STRIDE, NEED = 24, 8, 6, 19
 RANK, OVERSAMPLE, POWER_ROUNDS = 64, 16, 2
@@ -45,6 +45,8 @@ ITEM_BLOCK = 2_000
 ANSWER_WORDS = 6
 WORD_BLOCK = 256
 WINDOWS_AT_ONCE = 2_048
+#: Windows of several documents that are held together, at most about; and tasks that sum over the bounded sample.
+WINDOWS_HELD, SAMPLE_TASKS = 1 << 16, 16
 
 _WORD = re.compile(r"[^\W_]+")
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -219,7 +221,8 @@ def fit_projection(encoded: DataFrame, items: ItemSet, idf: np.ndarray) -> np.nd
     width = min(RANK + OVERSAMPLE, n_words)
     total = encoded.agg(F.sum("n_dense").alias("n")).first()["n"] or 0
     share = min(1.0, FIT_PASSAGES / max(total, 1))
-    sample = materialise(encoded.where(F.col("codes").isNotNull()).select("doc_id", "codes").mapInArrow(_sample(share), "passage binary"))
+    held = materialise(encoded.where(F.col("codes").isNotNull()).select("doc_id", "codes").mapInArrow(_sample(share), "passage binary"))
+    sample = held.coalesce(SAMPLE_TASKS)  # so no group of partial sums holds more than SAMPLE_TASKS of them
 
     def gram(basis: np.ndarray) -> np.ndarray:
         weights = _weighted(idf, basis)
@@ -236,6 +239,7 @@ def fit_projection(encoded: DataFrame, items: ItemSet, idf: np.ndarray) -> np.nd
     for _ in range(POWER_ROUNDS):
         basis = np.linalg.qr(gram(basis))[0]
     small = basis.T @ gram(basis)
+    discard(held)
     values, vectors = np.linalg.eigh((small + small.T) / 2)
     return _weighted(idf, basis @ vectors[:, ::-1][:, : min(RANK, width)])
 
@@ -316,13 +320,9 @@ def _search(shared, shared_weights, least: int, tolerance: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items, weights = shared.value, shared_weights.value
         latent = _unit_rows(project(items.passages, weights)).T.copy()
-        for batch in batches:
-            docs = [np.frombuffer(raw, np.int32) for raw in batch.column(1).to_pylist()]
-            ids = batch.column(0).to_pylist()
-            queue = [(n, windows(c, dense_starts(c, DOC_STRIDE, NEED))) for n, c in enumerate(docs)]
-            owner = np.repeat([n for n, _ in queue], [len(w) for _, w in queue])
-            passages = np.concatenate([np.empty((0, PASSAGE), np.int32), *[w for _, w in queue]])
-            best: dict[tuple[int, int], float] = {}
+        def search(queue: list[tuple[int, np.ndarray, np.ndarray]], best: dict[tuple[int, int], float]) -> None:
+            owner = np.repeat([n for n, _, _ in queue], [len(s) for _, _, s in queue])
+            passages = np.concatenate([np.empty((0, PASSAGE), np.int32), *[windows(c, s) for _, c, s in queue]])
             for at in range(0, len(passages), WINDOWS_AT_ONCE):
                 cosine = _unit_rows(project(passages[at : at + WINDOWS_AT_ONCE], weights)) @ latent
                 per_item = np.maximum.reduceat(cosine, items.first_passage, axis=1)
@@ -330,6 +330,21 @@ def _search(shared, shared_weights, least: int, tolerance: int):
                 for n, i, c in zip(owner[at + row].tolist(), item.tolist(), per_item[row, item].tolist(), strict=True):
                     if c > best.get((n, i), 0.0):
                         best[n, i] = c
+
+        for batch in batches:
+            docs = [np.frombuffer(raw, np.int32) for raw in batch.column(1).to_pylist()]
+            ids = batch.column(0).to_pylist()
+            best: dict[tuple[int, int], float] = {}
+            queue, held = [], 0
+            for n, codes in enumerate(docs):
+                starts = dense_starts(codes, DOC_STRIDE, NEED)
+                for at in range(0, len(starts), WINDOWS_HELD):
+                    queue.append((n, codes, starts[at : at + WINDOWS_HELD]))
+                    held += len(queue[-1][2])
+                    if held >= WINDOWS_HELD:
+                        search(queue, best)
+                        queue, held = [], 0
+            search(queue, best)
             wanted: dict[int, set[int]] = {}
             for n, i in best:
                 wanted.setdefault(n, set()).add(i)
@@ -346,7 +361,7 @@ def leaked_passages(docs: DataFrame, items: DataFrame, least: int = 30, toleranc
     spark = docs.sparkSession
     schema = "item_id bigint, doc_id bigint, cosine double, passage_words int, edits int, has_answer boolean"
     items = items.where(F.col("item_text").isNotNull()).select(F.col("item_id").cast("bigint"), "item_text").distinct()
-    docs = spread(docs.where(F.length("text") > 0).select(F.col("doc_id").cast("bigint"), "text"))
+    docs = spread(docs.where(F.length("text") > 0).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), "doc_id")
     blocks = -(-items.count() // ITEM_BLOCK)
     found = spark.createDataFrame([], schema)
     for block in range(blocks):
@@ -359,6 +374,7 @@ def leaked_passages(docs: DataFrame, items: DataFrame, least: int = 30, toleranc
         idf = inverse_document_frequency(encoded, len(held.vocabulary))
         weights = spark.sparkContext.broadcast(fit_projection(encoded, held, idf))
         dense = encoded.where(F.col("codes").isNotNull()).select("doc_id", "codes")
-        found = found.unionByName(dense.mapInArrow(_search(shared, weights, least, tolerance), schema))
+        found = found.unionByName(materialise(dense.mapInArrow(_search(shared, weights, least, tolerance), schema)))
+        discard(encoded)
     best = F.max(F.struct("passage_words", F.negative("edits").alias("less"), "cosine", "has_answer")).alias("b")
     return found.groupBy("item_id", "doc_id").agg(best).select("item_id", "doc_id", "b.cosine", "b.passage_words", F.negative("b.less").alias("edits"), "b.has_answer")
