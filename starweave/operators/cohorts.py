@@ -8,7 +8,6 @@ from pyspark.sql.window import Window
 
 from starweave.functions.geometry import distance_pc, parallax_frac_error_abs
 from starweave.functions.numeric import finite, finite_or_null
-from starweave.session import materialise
 
 COHORT_SIZE = 500
 #: Fixed order of cohorts; it settles equal ranks.
@@ -107,8 +106,8 @@ def merged_lists(*lists: Column) -> Column:
 def with_context(candidates: DataFrame, key: str, value: str, official: DataFrame, supplemental: DataFrame, neighbourhood: DataFrame) -> DataFrame:
     """Partner ids in the official map, the supplemental map and the neighbourhood, with flags.
 
-    The candidates are written once: each lookup reads them again to keep only the wanted ids."""
-    candidates = wanted = materialise(candidates)
+    ``candidates``: a written table, as each lookup reads them again to keep only the wanted ids."""
+    wanted = candidates
     for pairs, name in ((official, "official_ids"), (supplemental, "supplemental_ids"), (neighbourhood, "official_neighbourhood_ids")):
         candidates = candidates.join(id_list(pairs, key, value, name, wanted), "id", "left").withColumn(name, F.coalesce(name, F.lit("")))
     both = merged_lists(F.col("official_ids"), F.col("supplemental_ids"))

@@ -149,7 +149,7 @@ def review_candidates(gaia: DataFrame, hip: DataFrame, official: DataFrame, supp
     out = None
     for name, df, flags, key, value in (("gaia", gaia, co.survey_flags, "gaia_source_id", "hip_source_id"), ("hip", hip, co.catalogue_flags, "hip_source_id", "gaia_source_id")):
         rows = co.top_cohorts(co.with_quality(df, flags), COHORTS, size)
-        one = co.with_context(co.roll_up(rows, KEPT), key, value, official, supplemental, neighbourhood).withColumn("catalog_name", F.lit(name))
+        one = co.with_context(materialise(co.roll_up(rows, KEPT)), key, value, official, supplemental, neighbourhood).withColumn("catalog_name", F.lit(name))
         out = one if out is None else out.unionByName(one)
     return out
 

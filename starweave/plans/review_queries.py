@@ -46,8 +46,9 @@ def _candidates(spark: SparkSession, sf: str, size: int) -> DataFrame:
     official, near = mq.official(spark, sf), mq.neighbourhood(spark, sf)
     local = materialise(supplemental_map(mq.evidence(spark, sf)))
     g, h = co.roll_up(co.top_cohorts(survey(spark, sf), SURVEY_COHORTS, size), KEEP), co.roll_up(co.top_cohorts(catalogue(spark, sf), CATALOGUE_COHORTS, size), KEEP)
-    g = co.with_context(g, "gaia_source_id", "hip_source_id", official, local, near).withColumn("catalog_name", F.lit("gaia"))
-    h = co.with_context(h, "hip_source_id", "gaia_source_id", official, local, near).withColumn("catalog_name", F.lit("hip"))
+    rolled = materialise(g.withColumn("catalog_name", F.lit("gaia")).unionByName(h.withColumn("catalog_name", F.lit("hip"))))
+    g = co.with_context(rolled.where("catalog_name = 'gaia'"), "gaia_source_id", "hip_source_id", official, local, near)
+    h = co.with_context(rolled.where("catalog_name = 'hip'"), "hip_source_id", "gaia_source_id", official, local, near)
     return g.unionByName(h)
 
 
