@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from starweave.functions.geometry import chord_of_arcsec
 from starweave.functions.numeric import finite
 from starweave.operators.skew import batch_count
+from starweave.session import materialise
 
 #: The quadtree is grown on the driver from at most about this many sampled positions.
 SAMPLE_ROWS = 50_000
@@ -185,12 +186,16 @@ def _unit(ra: np.ndarray, dec: np.ndarray) -> np.ndarray:
 
 
 PROBE_BLOCK = 20_000
+#: A table of full parts is broadcast up to so many rows; their number is at most that of the points, or of the copies of probes, by the size of a full part.
+MOST_BROADCAST = 1_000_000
 
 
 def _match_leaf(radius_arcsec: float):
     limit2, pad = chord_of_arcsec(radius_arcsec) ** 2, radius_arcsec / 3600 * (1 + 1e-9) + 1e-9
 
     def match(probe: pa.Table, base: pa.Table) -> pa.Table:
+        if not probe.num_rows or not base.num_rows:
+            return pa.table({"probe_id": pa.array([], pa.int64()), "base_id": pa.array([], pa.int64()), "sep_arcsec": pa.array([], pa.float64())})
         pid, pra, pdec = (probe.column(c).to_numpy() for c in ("id", "ra", "dec"))
         bid, bra, bdec = (base.column(c).to_numpy() for c in ("id", "ra", "dec"))
         spot = np.c_[bra, bdec]
@@ -218,7 +223,8 @@ def near_points(probe: DataFrame, base: DataFrame, radius_arcsec: float, leaf_ro
 
     Both sides: (id bigint, ra, dec) as ``sky_points`` gives them. ``leaf_rows`` is the number of
     base points a leaf should hold; the tree is grown from a sample, so it holds about that."""
-    n = base.count()
+    base, probe = materialise(base.select("id", "ra", "dec")), materialise(probe.select("id", "ra", "dec"))  # both are read for the tree, the counts and the search
+    n, n_probes = base.count(), probe.count()
     share = min(1.0, sample_rows / max(n, 1))
     picked = base if share == 1.0 else base.where(F.xxhash64("id") < F.lit(int(-(2**63) + share * 2**64)))
     sample = np.array([(r.ra, r.dec) for r in picked.select("ra", "dec").collect()]).reshape(-1, 2)
@@ -227,23 +233,18 @@ def near_points(probe: DataFrame, base: DataFrame, radius_arcsec: float, leaf_ro
     schema = "id bigint, ra double, dec double, leaf bigint"
     cuts = np.ones(len(leaves), np.int64)
     if share < 1.0:
-        held = base.select("id", "ra", "dec").mapInArrow(_home_leaf(leaves, cuts), schema).groupBy((F.shiftright("leaf", 2 * CUT_BITS)).alias("leaf")).agg(F.count(F.lit(1)).alias("n"))
+        held = base.mapInArrow(_home_leaf(leaves, cuts), schema).groupBy((F.shiftright("leaf", 2 * CUT_BITS)).alias("leaf")).agg(F.count(F.lit(1)).alias("n"))
         for r in held.collect():  # a row per leaf
             cuts[r["leaf"]] = min(MOST_CUTS, max(1, round((r["n"] / (2 * leaf_rows)) ** 0.5)))
-    homed = base.select("id", "ra", "dec").mapInArrow(_home_leaf(leaves, cuts), schema)
-    touched = probe.select("id", "ra", "dec").mapInArrow(_touched_leaves(leaves, cuts, radius_deg), schema)
-    sizes = homed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).select("leaf", batch_count(F.col("n"), 4 * leaf_rows).alias("batches"))
-    probes = touched.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).select("leaf", batch_count(F.col("n"), 4 * leaf_rows).alias("probe_batches"))
-    plan = sizes.join(probes, "leaf")  # one small row per part of a leaf, of about ``leaf_rows`` points each
-    left = (
-        touched.join(plan, "leaf")
-        .withColumn("probe_batch", F.pmod(F.xxhash64("id"), F.col("probe_batches")).cast("int"))
-        .withColumn("batch", F.explode(F.sequence(F.lit(0), F.col("batches") - 1)))
-    )
-    right = (
-        homed.join(plan, "leaf")
-        .withColumn("batch", F.pmod(F.xxhash64("id"), F.col("batches")).cast("int"))
-        .withColumn("probe_batch", F.explode(F.sequence(F.lit(0), F.col("probe_batches") - 1)))
-    )
+    homed = base.mapInArrow(_home_leaf(leaves, cuts), schema)
+    touched = probe.mapInArrow(_touched_leaves(leaves, cuts, radius_deg), schema)
+    full = 4 * leaf_rows
+    sizes, probes = (df.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > full).select("leaf", batch_count(F.col("n"), full).alias(name)) for df, name in ((homed, "batches"), (touched, "probe_batches")))
+    plan = sizes.join(probes, "leaf", "full")  # a row per part with more than ``full`` points or probes, hence few of them
+    if (n + 9 * n_probes) // full <= MOST_BROADCAST:
+        plan = F.broadcast(plan)
+    batches, probe_batches = F.coalesce("batches", F.lit(1)), F.coalesce("probe_batches", F.lit(1))
+    left = touched.join(plan, "leaf", "left").withColumn("probe_batch", F.pmod(F.xxhash64("id"), probe_batches).cast("int")).withColumn("batch", F.explode(F.sequence(F.lit(0), batches - 1)))
+    right = homed.join(plan, "leaf", "left").withColumn("batch", F.pmod(F.xxhash64("id"), batches).cast("int")).withColumn("probe_batch", F.explode(F.sequence(F.lit(0), probe_batches - 1)))
     group, cols = ["leaf", "batch", "probe_batch"], ["id", "ra", "dec", "leaf", "batch", "probe_batch"]
     return left.select(cols).groupBy(*group).cogroup(right.select(cols).groupBy(*group)).applyInArrow(_match_leaf(radius_arcsec), "probe_id bigint, base_id bigint, sep_arcsec double")
