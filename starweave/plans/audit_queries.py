@@ -39,8 +39,8 @@ def diagnosed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def audit_evidence(spark: SparkSession, sf: str) -> DataFrame:
-    quality = dict.fromkeys(("gaia_astrometry_quality", "hip_astrometry_quality", "gaia_photometry_quality", "hip_photometry_quality"), 7)
-    return mq.rounded(audit(spark, sf), 5, separation_arcsec=4, gaia_r_pc=4, hip_r_pc=4, **quality)
+    quality = dict.fromkeys(("gaia_astrometry_quality", "hip_astrometry_quality", "gaia_photometry_quality", "hip_photometry_quality", "gaia_apparent_mag", "hip_apparent_mag", "gaia_phot_g_mean_mag", "hip_hpmag"), 7)
+    return mq.rounded(audit(spark, sf), 5, separation_arcsec=4, gaia_r_pc=4, hip_r_pc=4, distance_ratio=7, **quality)
 
 
 def audit_diagnostics(spark: SparkSession, sf: str) -> DataFrame:
@@ -138,9 +138,9 @@ ORACLES = {
     "conflict_rows": _AUDIT + """SELECT 'matched_pair_conflict' AS issue_type, 'medium' AS severity, 'create_or_review_override' AS recommended_action, 'distance_conflict' AS reasons, 'hip' AS source, CAST(hip_source_id AS VARCHAR) AS source_id, CAST(gaia_source_id AS VARCHAR) AS gaia_source_id,
       CAST(hip_source_id AS VARCHAR) AS hip_source_id, round(CAST(angular_distance AS DOUBLE), 3) AS separation_arcsec, round(abs(pg.r - hq.r) / greatest(pg.r, hq.r), 4) AS distance_frac_diff, round(pg.r, 4) AS gaia_r_pc, round(hq.r, 4) AS hip_r_pc
       FROM o JOIN pg ON pg.id = gaia_source_id JOIN hq ON hq.id = hip_source_id WHERE hq.r > 0 AND abs(pg.r - hq.r) / greatest(pg.r, hq.r) > 0.5""",
-    "audit_evidence": _AUDIT + """SELECT gid AS gaia_source_id, hid AS hip_source_id, decision, recommended_action, severity, reasons, round(sep, 4) AS separation_arcsec, round(dm, 5) AS apparent_mag_delta, round(ratio, 5) AS distance_ratio, round(frac, 5) AS distance_frac_diff,
-      round(gra, 5) AS gaia_ra_deg, round(gdec, 5) AS gaia_dec_deg, round(hra, 5) AS hip_ra_deg, round(hdec, 5) AS hip_dec_deg, round(gr, 4) AS gaia_r_pc, round(hr, 4) AS hip_r_pc, round(gma, 5) AS gaia_mag_abs, round(hma, 5) AS hip_mag_abs, round(gm, 5) AS gaia_apparent_mag, round(hm, 5) AS hip_apparent_mag,
-      round(gq, 7) AS gaia_astrometry_quality, round(hq, 7) AS hip_astrometry_quality, CAST(NULL AS DOUBLE) AS gaia_photometry_quality, round(hpq, 7) AS hip_photometry_quality, CAST(NULL AS DOUBLE) AS gaia_ruwe, round(gg, 5) AS gaia_phot_g_mean_mag, CAST(hsn AS DOUBLE) AS hip_solution_type, round(hhp, 5) AS hip_hpmag,
+    "audit_evidence": _AUDIT + """SELECT gid AS gaia_source_id, hid AS hip_source_id, decision, recommended_action, severity, reasons, round(sep, 4) AS separation_arcsec, round(dm, 5) AS apparent_mag_delta, round(ratio, 7) AS distance_ratio, round(frac, 5) AS distance_frac_diff,
+      round(gra, 5) AS gaia_ra_deg, round(gdec, 5) AS gaia_dec_deg, round(hra, 5) AS hip_ra_deg, round(hdec, 5) AS hip_dec_deg, round(gr, 4) AS gaia_r_pc, round(hr, 4) AS hip_r_pc, round(gma, 5) AS gaia_mag_abs, round(hma, 5) AS hip_mag_abs, round(gm, 7) AS gaia_apparent_mag, round(hm, 7) AS hip_apparent_mag,
+      round(gq, 7) AS gaia_astrometry_quality, round(hq, 7) AS hip_astrometry_quality, CAST(NULL AS DOUBLE) AS gaia_photometry_quality, round(hpq, 7) AS hip_photometry_quality, CAST(NULL AS DOUBLE) AS gaia_ruwe, round(gg, 7) AS gaia_phot_g_mean_mag, CAST(hsn AS DOUBLE) AS hip_solution_type, round(hhp, 7) AS hip_hpmag,
       gp IS NOT NULL AS gaia_has_official_map, hp IS NOT NULL AS hip_has_official_map, conf AS official_conflict, gp AS gaia_official_hip_source_id, hp AS hip_official_gaia_source_id, CAST(gc AS INTEGER) AS gaia_candidate_count, CAST(hc AS INTEGER) AS hip_candidate_count, one AS one_to_one, tight AS within_auto_thresholds,
       frac <= 0.10 AS within_distance_threshold, over AS overridden
       FROM au LEFT JOIN (SELECT gaia_source_id AS gk, max(hip_source_id) AS gp FROM o GROUP BY 1) ON gid = gk LEFT JOIN (SELECT hip_source_id AS hk, max(gaia_source_id) AS hp FROM o GROUP BY 1) ON hid = hk""",

@@ -38,7 +38,7 @@ def cohort_rows(spark: SparkSession, sf: str, size: int = co.COHORT_SIZE) -> Dat
     """All cohorts of both catalogues with their ranks."""
     parts = [co.top_cohorts(survey(spark, sf), SURVEY_COHORTS, size).withColumn("catalog_name", F.lit("gaia")), co.top_cohorts(catalogue(spark, sf), CATALOGUE_COHORTS, size).withColumn("catalog_name", F.lit("hip"))]
     cols = ["catalog_name", F.col("id").alias("source_id"), "cohort", "cohort_rank", "quality_flags", "quality_flag_count", "r_pc_parallax", "parallax_frac_error"]
-    return mq.rounded(parts[0].select(*cols).unionByName(parts[1].select(*cols)), 5)
+    return mq.rounded(parts[0].select(*cols).unionByName(parts[1].select(*cols)), 7)
 
 
 def _candidates(spark: SparkSession, sf: str, size: int) -> DataFrame:
@@ -134,7 +134,7 @@ s4 AS (SELECT *, CASE WHEN ps >= 105 OR (NOT ha AND n >= 2 AND qs >= 15) THEN 'P
 """
 
 ORACLES = {
-    "cohort_rows": f"WITH {mq.SOURCES}, {_RANKED} SELECT cat AS catalog_name, id AS source_id, cohort, CAST(rk AS INTEGER) AS cohort_rank, flags AS quality_flags, CAST(CASE WHEN flags = '' THEN 0 ELSE length(flags) - length(replace(flags, ';', '')) + 1 END AS INTEGER) AS quality_flag_count, round(CASE WHEN plx > 0 THEN 1000.0 / plx END, 5) AS r_pc_parallax, round(abs(e_plx) / abs(nullif(plx, 0)), 5) AS parallax_frac_error FROM ranked",
+    "cohort_rows": f"WITH {mq.SOURCES}, {_RANKED} SELECT cat AS catalog_name, id AS source_id, cohort, CAST(rk AS INTEGER) AS cohort_rank, flags AS quality_flags, CAST(CASE WHEN flags = '' THEN 0 ELSE length(flags) - length(replace(flags, ';', '')) + 1 END AS INTEGER) AS quality_flag_count, round(CASE WHEN plx > 0 THEN 1000.0 / plx END, 7) AS r_pc_parallax, round(abs(e_plx) / abs(nullif(plx, 0)), 7) AS parallax_frac_error FROM ranked",
     "review_candidates": _CANDIDATES + "SELECT cat AS catalog_name, id AS source_id, cohorts, ranks AS cohort_ranks, flags AS quality_flags, CAST(nf AS INTEGER) AS quality_flag_count, oi AS official_ids, si AS supplemental_ids, ni AS official_neighbourhood_ids, ci AS counterpart_ids, ha AS has_any_gaia_hip_match FROM s4",
     "candidate_flag_counts": _CANDIDATES + "SELECT cat AS catalog_name, flag, count(*) AS n FROM (SELECT cat, unnest(string_split(flags, ';')) AS flag FROM cand) WHERE flag <> '' GROUP BY ALL",
     "candidate_links": f"WITH {mq.SOURCES}, {mq.MAPS}, {_RANKED} SELECT DISTINCT gaia_source_id, hip_source_id FROM o WHERE gaia_source_id IN (SELECT id FROM ranked WHERE cat = 'gaia') AND hip_source_id IN (SELECT id FROM ranked WHERE cat = 'hip')",
