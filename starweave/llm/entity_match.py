@@ -4,10 +4,10 @@
    A first-source record has the sky cell it lies in, a second-source record every cell within its reach, so
    places within reach share a cell; cells that only one source has lead nowhere and are left out. Magnitude, colour
    and parallax give attribute tokens, each source with its own scale and its own tokens, and one for a missing value.
-2. Random walks: from each record of a bounded sample of cells WALKS walks of STEPS steps, each through a location or
+2. Random walks: from every record WALKS walks of STEPS steps, each through a location or
    an attribute token the record has to another record that has it. The tokens of the visited records
-   are the sentences on which skip-gram vectors are trained (MLlib Word2Vec). So tokens of both sources
-   that stand for the same property come together. A location has two names out of a bounded number each, so the model's size does
+   are the sentences on which skip-gram vectors are trained, all of them, in blocks whose vectors are averaged. So tokens of
+   both sources that stand for the same property come together. A location has two names out of a bounded number each, so the model's size does
    not grow with the data and different places still have different vectors.
 3. A record's vector in a cell is the weighted sum of its tokens' vectors. Blocking: tables of hyperplanes, the bucket
    of a record is the signs of its vector; the bits grow with the logarithm of the records, and the tables
@@ -30,7 +30,6 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import Word2Vec
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -38,7 +37,7 @@ from pyspark.sql.window import Window
 from starweave.functions.geometry import EPOCH_PRIMARY, EPOCH_SECONDARY, arcsec_of_chord2, chord2, chord_of_arcsec, propagated, unit_vector
 from starweave.functions.numeric import finite_or_null
 from starweave.operators.latest import latest_values
-from starweave.session import discard, materialise
+from starweave.session import discard, free_shuffles, materialise
 
 REACH = 3.0
 YEARS = EPOCH_PRIMARY - EPOCH_SECONDARY
@@ -49,9 +48,15 @@ WIDE_RADIUS = chord_of_arcsec(REACH + YEARS * UNRECORDED_MOTION)
 EDGE = 8 * RADIUS
 #: Names of either kind that a location token is spelled with.
 LOCATION_NAMES = 1 << 13
-#: Records in the fitted sample at most (about), walks from each, steps of a walk.
-FIT_RECORDS, WALKS, STEPS = 10_000, 2, 3
+#: Walks from each record, steps of a walk.
+WALKS, STEPS = 2, 3
 DIMENSIONS = 24
+#: Walks of a block (about) and of a step of its descent, steps in a block at least, rounds that share out the blocks.
+BLOCK_WALKS, STEP_WALKS, LEAST_STEPS, ROUNDS = 20_000, 200, 100, 2
+#: Words drawn against all words of a step, the weight of what is drawn for each word of the window, the rate of descent.
+NEGATIVES, NEGATIVE_WEIGHT, RATE = 32, 1.0, 0.05
+#: Parts of the vocabulary in which the tasks' vectors are added up.
+PARTS = 16
 #: Weight of a location in a record's vector, and of each attribute.
 LOCATION_WEIGHT, ATTRIBUTE_WEIGHT = 1.0, 0.12
 LEAST_BITS, MOST_BITS, SPARED_BITS, AGREE, MISS = 8, 48, 5, 0.94, 1e-3
@@ -149,49 +154,208 @@ def shared_tokens(first: DataFrame, second: DataFrame) -> DataFrame:
     return rows.join(cells, "cell")
 
 
-def _spelled(src: Column) -> list[Column]:
-    """A record's tokens as words: two names of its location, then its attributes by source."""
-    places = [F.concat(F.lit(kind), F.pmod(F.xxhash64("cell", F.lit(k)), F.lit(LOCATION_NAMES)).cast("string")) for k, kind in enumerate("kl")]
-    return places + [F.concat(F.lit(a), src.cast("string"), F.lit("_"), F.coalesce(F.col(a).cast("string"), F.lit("none"))) for a in ATTRIBUTES]
+#: A missing bin, and the bits that a bin takes in a word's code.
+NO_BIN, BIN_BITS = 1 << 16, 17
 
 
-def walks(rows: DataFrame, share: float) -> DataFrame:
-    """(sentence): WALKS walks from each record in ``share`` of the cells, the tokens of the visited records.
+def _packed_bins() -> Column:
+    """The source and the three bins of a record as one number."""
+    packed = F.col("src").cast("bigint")
+    for a in ATTRIBUTES:
+        packed = F.shiftleft(packed, BIN_BITS).bitwiseOR(F.coalesce(F.col(a).cast("bigint") + (NO_BIN >> 1), F.lit(NO_BIN).cast("bigint")))
+    return packed
 
-    A step takes one of the record's tokens, every other time its location, and goes to any record that has it."""
-    some = rows.where(F.xxhash64("cell", F.lit(3)) < F.lit(min(2**63 - 1, int(-(2**63) + share * 2**64))))
-    words = some.select(F.xxhash64("src", "id", "cell").alias("node"), F.col("cell").cast("string").alias("at"), F.array(*_spelled(F.col("src"))).alias("words"))
-    words = materialise(words)
-    tokens = words.select("node", "words", F.explode(F.array(F.col("at"), *[F.col("words")[2 + k] for k in range(len(ATTRIBUTES))])).alias("token"))
-    order = Window.partitionBy("token").orderBy(F.xxhash64("node", "token"), "node")
-    members = materialise(tokens.select("token", F.col("node").alias("to"), F.col("words").alias("to_words"), (F.row_number().over(order) - 1).alias("seat"), F.count(F.lit(1)).over(Window.partitionBy("token")).alias("seats")))
-    seats = members.where(F.col("seat") == 0).select("token", "seats")
-    state = words.select(F.col("node").alias("start"), F.explode(F.sequence(F.lit(1), F.lit(WALKS))).alias("walk"), "node", F.col("words").alias("sentence"))
-    choices = words.select("node", "at", "words")
+
+def _attribute_codes(packed: Column) -> list[Column]:
+    """The codes of a record's attribute words: kind, source and bin."""
+    n, mask = len(ATTRIBUTES), F.lit((1 << BIN_BITS) - 1).cast("bigint")
+    src = F.shiftright(packed, BIN_BITS * n)
+    return [F.shiftleft(src + 2 * k, BIN_BITS).bitwiseOR(F.shiftright(packed, BIN_BITS * (n - 1 - k)).bitwiseAND(mask)) for k in range(n)]
+
+
+def _spelled(code: int) -> str:
+    """The attribute word of a code."""
+    kind, value = code >> BIN_BITS, code & ((1 << BIN_BITS) - 1)
+    return f"{ATTRIBUTES[kind >> 1]}{kind & 1}_{'none' if value == NO_BIN else value - (NO_BIN >> 1)}"
+
+
+def graph(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(nodes, tokens): (node, at, crowd, bins) of every record in a cell, and (token, seats) of the attribute tokens, which are
+    bounded by the bins. ``crowd`` is the number of nodes in the cell."""
+    nodes = rows.select(F.xxhash64("src", "id", "cell").alias("node"), F.col("cell").alias("at"), F.col("n").alias("crowd"), _packed_bins().alias("bins"))
+    tokens = nodes.select(F.explode(F.array(*_attribute_codes(F.col("bins")))).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("seats"))
+    return nodes, materialise(tokens)
+
+
+def seated(nodes: DataFrame, tokens: DataFrame) -> DataFrame:
+    """(token, seat, to): the nodes that have a token, numbered from 0; ``to`` is the place, crowd and bins of one. Nodes that
+    agree in these may change seats. A token of many nodes is numbered in parts, each from where the parts before it end."""
+    nodes = nodes.select("at", "crowd", "bins")
+    own = nodes.select(F.col("at").alias("token"), F.col("crowd").alias("seats"), "*")
+    shared = nodes.select(F.explode(F.array(*_attribute_codes(F.col("bins")))).alias("token"), "*").join(F.broadcast(tokens), "token")
+    salt = F.when(F.col("seats") > SALT_ROWS, F.pmod(F.xxhash64("at", "bins"), F.ceil(F.col("seats") / SALT_ROWS))).otherwise(F.lit(0).cast("bigint"))
+    rows = own.unionByName(shared).withColumn("salt", salt)
+    parts = rows.where(F.col("seats") > SALT_ROWS).groupBy("token", "salt").agg(F.count(F.lit(1)).alias("size"))
+    before = Window.partitionBy("token").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("token", "salt", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("before"))
+    seat = F.row_number().over(Window.partitionBy("token", "salt").orderBy("at", "bins")) - 1
+    rows = rows.drop("seats").withColumn("seat", seat.cast("bigint")).join(F.broadcast(parts), ["token", "salt"], "left")
+    return rows.select("token", (F.col("seat") + F.coalesce("before", F.lit(0))).alias("seat"), F.array("at", "crowd", "bins").alias("to"))
+
+
+def _visit(at: Column, bins: Column) -> Column:
+    """What a path holds of a node: both names of its location as one number, and its bins."""
+    names = [F.pmod(F.xxhash64(at, F.lit(k)), F.lit(LOCATION_NAMES)) for k in range(2)]
+    return F.array(names[0] * LOCATION_NAMES + names[1], bins)
+
+
+def walks(nodes: DataFrame, tokens: DataFrame) -> DataFrame:
+    """(walk, path): WALKS walks from every node; the path holds the names and the bins of the visited nodes.
+
+    A step takes one of the node's tokens, every other time its location, and goes to any node that has it."""
+    members = seated(nodes, tokens)
+    starts = nodes.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(WALKS))))
+    state = starts.select(F.xxhash64("node", "k").alias("walk"), "at", "crowd", "bins", _visit(F.col("at"), F.col("bins")).alias("path"))
     for step in range(STEPS):
-        die = F.pmod(F.xxhash64("start", "walk", F.lit(step)), F.lit(2 * len(ATTRIBUTES)))
-        token = F.when(die < len(ATTRIBUTES), F.col("at")).otherwise(F.element_at("words", (die - len(ATTRIBUTES) + 3).cast("int")))
-        chosen = state.join(choices, "node").select("start", "walk", "sentence", token.alias("token")).join(seats, "token")
-        chosen = chosen.withColumn("seat", F.pmod(F.xxhash64("walk", "start", F.lit(step + 100)), F.col("seats")).cast("int")).drop("seats")
-        state = chosen.join(members.drop("seats"), ["token", "seat"]).select("start", "walk", F.col("to").alias("node"), F.concat("sentence", "to_words").alias("sentence"))
-    sentences = materialise(state.select("sentence"))
-    discard(words)
-    discard(members)
-    return sentences
+        die = F.pmod(F.xxhash64("walk", F.lit(step)), F.lit(2 * len(ATTRIBUTES)))
+        token = F.when(die < len(ATTRIBUTES), F.col("at"))
+        for k, code in enumerate(_attribute_codes(F.col("bins"))):
+            token = token.when(die == len(ATTRIBUTES) + k, code)
+        chosen = state.select("walk", "path", "crowd", token.alias("token"), (die < len(ATTRIBUTES)).alias("stays")).join(F.broadcast(tokens), "token", "left")
+        seats = F.when(F.col("stays"), F.col("crowd")).otherwise(F.col("seats"))
+        chosen = chosen.select("walk", "path", "token", F.pmod(F.xxhash64("walk", F.lit(step + 100)), seats).alias("seat"))
+        at, crowd, bins = (F.col("to")[k] for k in range(3))
+        state = chosen.join(members, ["token", "seat"]).select("walk", at.alias("at"), crowd.alias("crowd"), bins.alias("bins"), F.concat("path", _visit(at, bins)).alias("path"))
+    return state.select("walk", "path")
+
+
+def _numbered(codes: np.ndarray):
+    """The walks of a block to one row with the numbers of their words: names of the first kind, of the second, attributes."""
+
+    def run(key, table):
+        path = table.column("path").combine_chunks().flatten().to_numpy().reshape(table.num_rows, 2 * (STEPS + 1))
+        path = path[np.lexsort(path.T)].reshape(-1, STEPS + 1, 2)
+        words = np.empty((*path.shape[:2], 2 + len(ATTRIBUTES)), np.int32)
+        words[..., 0], words[..., 1] = path[..., 0] // LOCATION_NAMES, LOCATION_NAMES + path[..., 0] % LOCATION_NAMES
+        n, mask = len(ATTRIBUTES), (1 << BIN_BITS) - 1
+        for k in range(n):
+            code = (((path[..., 1] >> (BIN_BITS * n)) + 2 * k) << BIN_BITS) | ((path[..., 1] >> (BIN_BITS * (n - 1 - k))) & mask)
+            words[..., 2 + k] = 2 * LOCATION_NAMES + np.searchsorted(codes, code)
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "words": pa.array([words.tobytes()], pa.binary())})
+
+    return run
+
+
+def _sums(rows: np.ndarray, places: np.ndarray, n: int) -> np.ndarray:
+    """The sum of the rows of each of ``n`` places."""
+    d = rows.shape[1]
+    return np.bincount((places[:, None] * d + np.arange(d)).ravel(), rows.ravel(), n * d).reshape(n, d).astype(np.float32)
+
+
+def descend(words: np.ndarray, inner: np.ndarray, outer: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Skip-gram with negative sampling over all walks of a block, changing both tables of vectors in place: a word predicts
+    the other words of its record and those of the records beside it in the walk. Returns how often each word occurs."""
+    n, nodes, width = words.shape
+    size = nodes * width
+    at = np.repeat(np.arange(nodes), width)
+    window = ((np.abs(at[:, None] - at[None, :]) <= 1) & ~np.eye(size, dtype=bool)).astype(np.float32)
+    words = words.reshape(n, size)
+    seen = np.bincount(words.ravel(), minlength=len(inner))
+    likely = np.cumsum(seen**0.75)
+    weight = np.float32(NEGATIVE_WEIGHT / NEGATIVES) * np.tile(window.sum(axis=1), min(n, STEP_WALKS))[:, None]
+    slot = np.empty(len(inner), np.int64)
+    speeds = [np.full((len(inner), 1), 1e-6, np.float32) for _ in range(2)]
+
+    def move(table: np.ndarray, speed: np.ndarray, which: np.ndarray, slope: np.ndarray) -> None:
+        speed[which] += (slope * slope).mean(axis=1, keepdims=True)
+        table[which] += RATE * slope / np.sqrt(speed[which])
+
+    for _ in range(-(-LEAST_STEPS // -(-n // STEP_WALKS))):
+        turn = rng.permutation(n)
+        for first in range(0, n, STEP_WALKS):
+            flat = words[turn[first : first + STEP_WALKS]].ravel()
+            drawn = np.searchsorted(likely, rng.random(NEGATIVES) * likely[-1], side="right")
+            both = np.concatenate([flat, drawn])
+            which = np.flatnonzero(np.bincount(both, minlength=len(inner)))
+            slot[which] = np.arange(len(which))
+            centres, away = inner.take(flat, axis=0), outer.take(drawn, axis=0)
+            a, b = centres.reshape(-1, size, DIMENSIONS), outer.take(flat, axis=0).reshape(-1, size, DIMENSIONS)
+            with np.errstate(over="ignore"):
+                miss = window / (1 + np.exp(a @ b.transpose(0, 2, 1)))
+                hit = weight[: len(flat)] / (1 + np.exp(-(centres @ away.T)))
+            of_inner = (miss @ b).reshape(-1, DIMENSIONS) - hit @ away
+            of_outer = np.concatenate([(miss.transpose(0, 2, 1) @ a).reshape(-1, DIMENSIONS), -(hit.T @ centres)])
+            move(inner, speeds[0], which, _sums(of_inner, slot[flat], len(which)))
+            move(outer, speeds[1], which, _sums(of_outer, slot[both], len(which)))
+    return seen
+
+
+def _fitted(shared, last: bool):
+    """Blocks of walks to sums over the task's blocks, in PARTS parts of the words: how often each occurs, and the vectors
+    that each block ends with, as often as the word occurs in it. Outer vectors only serve a next round."""
+
+    def run(batches):
+        inner, outer = shared.value
+        count, total = np.zeros(len(inner)), np.zeros((len(inner), (1 if last else 2) * DIMENSIONS))
+        for batch in batches:
+            for block, raw in zip(batch.column("block").to_pylist(), batch.column("words"), strict=True):
+                words = np.frombuffer(raw.as_buffer(), np.int32).reshape(-1, STEPS + 1, 2 + len(ATTRIBUTES))
+                own = inner.copy(), outer.copy()
+                seen = descend(words, *own, np.random.default_rng(block))
+                count += seen
+                total += seen[:, None] * np.hstack(own[:1] if last else own)
+        if count.any():
+            for part in range(PARTS):
+                yield pa.RecordBatch.from_pydict({"part": [part], "sums": [np.hstack([count[part::PARTS, None], total[part::PARTS]]).tobytes()]})
+
+    return run
+
+
+def _added(key, table):
+    """The sum of the tasks' sums of one part."""
+    total = sum(np.frombuffer(raw.as_buffer()) for raw in table.column("sums"))
+    return pa.table({"part": pa.array([key[0].as_py()], pa.int64()), "sums": pa.array([np.asarray(total).tobytes()], pa.binary())})
 
 
 def train_vectors(rows: DataFrame, total: int) -> dict[str, np.ndarray]:
-    """Skip-gram vectors by word; the vocabulary is bounded by LOCATION_NAMES and the bins."""
+    """Skip-gram vectors by word, trained on walks from all ``total`` records; the vocabulary is bounded by LOCATION_NAMES and the bins.
+
+    Every walk is in one block and every block in one round. The blocks of a round begin at the same vectors, those of the next
+    at the mean of what they end with, where a block counts for a word as often as it has it. Blocks are cut by a hash, so the
+    vectors do not depend on partitions or the order of rows."""
     if not total:
         return {}
-    sentences = walks(rows, min(1.0, FIT_RECORDS / total))
-    if sentences.isEmpty():
-        discard(sentences)
-        return {}
-    model = Word2Vec(vectorSize=DIMENSIONS, minCount=1, windowSize=6, maxIter=2, stepSize=0.05, numPartitions=8, seed=5, inputCol="sentence", outputCol="v").fit(sentences)
-    found = {r.word: np.array(r.vector.toArray(), np.float32) for r in model.getVectors().collect()}
-    discard(sentences)
-    return found
+    spark = rows.sparkSession
+    free_shuffles(spark)
+    nodes, tokens = graph(rows)
+    codes = np.array(sorted(r.token for r in tokens.collect()), np.int64)
+    blocks = ROUNDS * max(1, round(total * WALKS / (ROUNDS * BLOCK_WALKS)))
+    block = F.pmod(F.xxhash64("walk", F.lit(7)), F.lit(blocks)).alias("block")
+    packed = materialise(walks(nodes, tokens).select(block, "path").groupBy("block").applyInArrow(_numbered(codes), "block bigint, words binary"))
+    discard(tokens)
+    size = 2 * LOCATION_NAMES + len(codes)
+    inner = np.random.default_rng(5).uniform(-0.5, 0.5, (size, DIMENSIONS)).astype(np.float32) / DIMENSIONS
+    outer = np.zeros((size, DIMENSIONS), np.float32)
+    count = np.zeros(size)
+    free_shuffles(spark)
+    for turn in range(ROUNDS):
+        last = turn == ROUNDS - 1
+        shared = spark.sparkContext.broadcast((inner, outer))
+        sums = packed.where(F.pmod("block", F.lit(ROUNDS)) == turn).mapInArrow(_fitted(shared, last), "part bigint, sums binary").groupBy("part").applyInArrow(_added, "part bigint, sums binary").collect()
+        shared.destroy()
+        inner, outer = inner.copy(), outer.copy()
+        for r in sums:
+            part = np.frombuffer(r.sums).reshape(-1, 1 + (1 if last else 2) * DIMENSIONS)
+            count[r.part :: PARTS] += part[:, 0]
+            met = np.flatnonzero(part[:, 0])
+            mean = part[met, 1:] / part[met, :1]
+            inner[r.part + PARTS * met] = mean[:, :DIMENSIONS]
+            if not last:
+                outer[r.part + PARTS * met] = mean[:, DIMENSIONS:]
+    discard(packed)
+    free_shuffles(spark)
+    names = [f"{kind}{k}" for kind in "kl" for k in range(LOCATION_NAMES)] + [_spelled(int(c)) for c in codes]
+    return {w: inner[k] for k, w in enumerate(names) if count[k]}
 
 
 def vector_tables(vectors: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], np.ndarray]:

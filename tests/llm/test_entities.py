@@ -76,6 +76,41 @@ def test_training_decides_what_is_found(spark):
     assert len(planned & want) / len(want) > 0.99
 
 
+def many_records(spark, n_cells):
+    """One record of either source in each cell; every 400th cell has magnitudes that no other record has."""
+    m = F.when(F.col("id") % 400 == 0, 100 + F.col("id") / 400).otherwise(F.col("id") % 20)
+    rows = spark.range(n_cells).select(F.explode(F.array(F.lit(0), F.lit(1))).alias("src"), "id", F.xxhash64("id").alias("cell"), m.cast("smallint").alias("m"))
+    bins = (F.when(F.col("id") % 7 > 0, F.col("id") % 5).cast("smallint").alias("c"), (F.col("id") % 3).cast("smallint").alias("p"))
+    return materialise(rows.select("*", *bins, F.lit(2).cast("bigint").alias("n")))
+
+
+def test_vectors_are_trained_on_every_record(spark):
+    """More records than any sample held: words that a single record has are trained, and partitions change nothing."""
+    rows = many_records(spark, 16_000)
+    vectors = em.train_vectors(rows, 32_000)
+    assert {f"m{src}_{100 + k}" for src in (0, 1) for k in range(40)} <= vectors.keys()
+    names = rows.select(*[F.pmod(F.xxhash64("cell", F.lit(k)), F.lit(em.LOCATION_NAMES)).alias(kind) for k, kind in enumerate("kl")]).collect()
+    assert {f"{kind}{r[kind]}" for r in names for kind in "kl"} == {w for w in vectors if w[0] in "kl"}
+    again = em.train_vectors(rows.repartition(7), 32_000)
+    assert vectors.keys() == again.keys() and all(np.allclose(vectors[w], again[w], atol=1e-5) for w in vectors)
+
+
+def test_walks_start_at_every_record_and_follow_tokens(spark):
+    rows = many_records(spark, 1_000)
+    nodes, tokens = em.graph(rows)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(em, "SALT_ROWS", 20)
+        seats = em.seated(nodes, tokens).groupBy("token").agg(F.sort_array(F.collect_list("seat")).alias("seats")).collect()
+        found = [r.path for r in em.walks(nodes, tokens).collect()]
+    assert all(r.seats == list(range(len(r.seats))) for r in seats) and max(len(r.seats) for r in seats) > 300
+    assert len(found) == em.WALKS * 2_000 and all(len(p) == 2 * (em.STEPS + 1) for p in found)
+    codes = lambda b: {(((b >> 51) + 2 * k) << 17) | ((b >> (17 * (2 - k))) & 0x1FFFF) for k in range(3)}
+    steps = [(p[k : k + 2], p[k + 2 : k + 4]) for p in found for k in (0, 2, 4)]
+    assert all(a[0] == b[0] or codes(a[1]) & codes(b[1]) for a, b in steps)
+    stays = sum(a[0] == b[0] for a, b in steps) / len(steps)
+    assert 0.47 < stays < 0.56, stays
+
+
 def test_pairs_of_a_crowded_field_are_found(spark):
     """20,000 survey records in one cell, some of which are catalogue stars."""
     gaia, hip, want = sky(300, 0.3, 0.4, 0.6)
