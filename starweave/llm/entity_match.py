@@ -37,7 +37,7 @@ from pyspark.sql.window import Window
 from starweave.functions.geometry import EPOCH_PRIMARY, EPOCH_SECONDARY, arcsec_of_chord2, chord2, chord_of_arcsec, propagated, unit_vector
 from starweave.functions.numeric import finite_or_null
 from starweave.operators.latest import latest_values
-from starweave.session import discard, free_shuffles, materialise
+from starweave.session import discard, free_shuffles, hash_joins, materialise
 
 REACH = 3.0
 YEARS = EPOCH_PRIMARY - EPOCH_SECONDARY
@@ -118,8 +118,9 @@ def _cell(x: Column, y: Column, z: Column) -> Column:
     return F.when(x.isNotNull() & y.isNotNull() & z.isNotNull(), F.xxhash64(*[F.floor(v / EDGE).cast("int") for v in (x, y, z)]))
 
 
-#: Steps of a packed place, 21 bits for each coordinate.
+#: Steps of a packed place, 21 bits for each coordinate; a strip has so many bits of steps of the first coordinate.
 PACK = 1 << 20
+STRIP_BITS = 12
 
 
 def _packed() -> Column:
@@ -203,30 +204,32 @@ def seated(nodes: DataFrame, tokens: DataFrame) -> DataFrame:
     return rows.select("token", (F.col("seat") + F.coalesce("before", F.lit(0))).alias("seat"), F.array("at", "crowd", "bins").alias("to"))
 
 
-def _visit(at: Column, bins: Column) -> Column:
+def _visit(step: int) -> list[Column]:
     """What a path holds of a node: both names of its location as one number, and its bins."""
-    names = [F.pmod(F.xxhash64(at, F.lit(k)), F.lit(LOCATION_NAMES)) for k in range(2)]
-    return F.array(names[0] * LOCATION_NAMES + names[1], bins)
+    names = [F.pmod(F.xxhash64("at", F.lit(k)), F.lit(LOCATION_NAMES)) for k in range(2)]
+    return [(names[0] * LOCATION_NAMES + names[1]).alias(f"names{step}"), F.col("bins").alias(f"bins{step}")]
 
 
 def walks(nodes: DataFrame, tokens: DataFrame) -> DataFrame:
     """(walk, path): WALKS walks from every node; the path holds the names and the bins of the visited nodes.
 
     A step takes one of the node's tokens, every other time its location, and goes to any node that has it."""
-    members = seated(nodes, tokens)
+    members = seated(nodes, tokens).select(F.xxhash64("token", "seat").alias("key"), "to")  # one column, else the last step shuffles members of its own
+    to = [F.col("to")[k].alias(n) for k, n in enumerate(("at", "crowd", "bins"))]
     starts = nodes.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(WALKS))))
-    state = starts.select(F.xxhash64("node", "k").alias("walk"), "at", "crowd", "bins", _visit(F.col("at"), F.col("bins")).alias("path"))
+    state = starts.select(F.xxhash64("node", "k").alias("walk"), "at", "crowd", "bins", *_visit(0))
+    path = state.columns[-2:]
     for step in range(STEPS):
         die = F.pmod(F.xxhash64("walk", F.lit(step)), F.lit(2 * len(ATTRIBUTES)))
         token = F.when(die < len(ATTRIBUTES), F.col("at"))
         for k, code in enumerate(_attribute_codes(F.col("bins"))):
             token = token.when(die == len(ATTRIBUTES) + k, code)
-        chosen = state.select("walk", "path", "crowd", token.alias("token"), (die < len(ATTRIBUTES)).alias("stays")).join(F.broadcast(tokens), "token", "left")
+        chosen = state.select("walk", *path, "crowd", token.alias("token"), (die < len(ATTRIBUTES)).alias("stays")).join(F.broadcast(tokens), "token", "left")
         seats = F.when(F.col("stays"), F.col("crowd")).otherwise(F.col("seats"))
-        chosen = chosen.select("walk", "path", "token", F.pmod(F.xxhash64("walk", F.lit(step + 100)), seats).alias("seat"))
-        at, crowd, bins = (F.col("to")[k] for k in range(3))
-        state = chosen.join(members, ["token", "seat"]).select("walk", at.alias("at"), crowd.alias("crowd"), bins.alias("bins"), F.concat("path", _visit(at, bins)).alias("path"))
-    return state.select("walk", "path")
+        seat = F.pmod(F.xxhash64("walk", F.lit(step + 100)), seats)
+        state = chosen.select("walk", *path, F.xxhash64("token", seat).alias("key")).join(members, "key").select("walk", *path, *to).select("*", *_visit(step + 1))
+        path += state.columns[-2:]
+    return state.select("walk", F.array(*path).alias("path"))
 
 
 def _numbered(codes: np.ndarray):
@@ -326,9 +329,9 @@ def train_vectors(rows: DataFrame, total: int) -> dict[str, np.ndarray]:
     if not total:
         return {}
     spark = rows.sparkSession
-    free_shuffles(spark)
     nodes, tokens = graph(rows)
     codes = np.array(sorted(r.token for r in tokens.collect()), np.int64)
+    free_shuffles(spark)
     blocks = ROUNDS * max(1, round(total * WALKS / (ROUNDS * BLOCK_WALKS)))
     block = F.pmod(F.xxhash64("walk", F.lit(7)), F.lit(blocks)).alias("block")
     packed = materialise(walks(nodes, tokens).select(block, "path").groupBy("block").applyInArrow(_numbered(codes), "block bigint, words binary"))
@@ -381,14 +384,16 @@ def _unit(v: np.ndarray) -> np.ndarray:
     return v / max(float(np.linalg.norm(v)), 1e-9)
 
 
-def attribute_part(attributes: dict[str, np.ndarray], src: np.ndarray, *bins: list) -> np.ndarray:
+def attribute_part(attributes: dict[str, np.ndarray], src: np.ndarray, *bins: pa.Array) -> np.ndarray:
     """The sum of the records' weighted attribute vectors. A word that no walk met gets a random vector by its name."""
     total = np.zeros((len(src), DIMENSIONS), np.float32)
     for kind, values in zip(ATTRIBUTES, bins, strict=True):
-        words = [f"{kind}{s}_{'none' if v is None else v}" for s, v in zip(src, values, strict=True)]
+        numbers = values.cast(pa.int64()).fill_null(NO_BIN).to_numpy(zero_copy_only=False)
+        which, at = np.unique(2 * numbers + src, return_inverse=True)
+        words = [f"{kind}{n & 1}_{'none' if n >> 1 == NO_BIN else n >> 1}" for n in which.tolist()]
         for w in set(words) - attributes.keys():
             attributes[w] = _unit(np.random.default_rng(abs(hash_of(w))).standard_normal(DIMENSIONS)).astype(np.float32)
-        total += ATTRIBUTE_WEIGHT * np.array([attributes[w] for w in words], np.float32).reshape(-1, DIMENSIONS)
+        total += ATTRIBUTE_WEIGHT * np.array([attributes[w] for w in words], np.float32).reshape(-1, DIMENSIONS)[at]
     return total
 
 
@@ -412,7 +417,7 @@ def _bucketed(shared):
             src, ids, cell, crowd, at_k, at_l = (batch.column(c).to_numpy() for c in ("src", "id", "cell", "n", "k", "l"))
             v = names[0, at_k] + names[1, at_l]
             v *= LOCATION_WEIGHT / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
-            v += attribute_part(attributes, src, *(batch.column(a).to_pylist() for a in ATTRIBUTES))
+            v += attribute_part(attributes, src, *(batch.column(a) for a in ATTRIBUTES))
             signs = (np.einsum("nd,tbd->ntb", v, planes, optimize=True) > 0) @ (np.int64(1) << np.arange(bits, dtype=np.int64))
             salts = np.maximum(-(-crowd // SALT_ROWS), 1)
             copies = np.where(src == 1, salts, 1)
@@ -428,15 +433,21 @@ def _bucketed(shared):
 
 
 def bucket_pairs(rows: DataFrame, tables: tuple[dict[str, np.ndarray], np.ndarray], bits: int, n_tables: int) -> DataFrame:
-    """(id, id2): records of the first and second source that share a bucket and are within reach by their packed places."""
+    """(id, id2): records of the first and second source that share a bucket and are within reach by their packed places.
+
+    Records of a bucket meet by strips of the sky, a second-source record in every strip its reach touches: a bucket may
+    hold many records from everywhere, and no pair within reach is in different strips only."""
     planes = np.random.default_rng(23).standard_normal((n_tables, bits, DIMENSIONS)).astype(np.float32)
     shared = rows.sparkSession.sparkContext.broadcast((tables, planes))
     named = rows.withColumns({kind: F.pmod(F.xxhash64("cell", F.lit(k)), F.lit(LOCATION_NAMES)).cast("int") for k, kind in enumerate("kl")})
     schema = "id bigint, place bigint, wide boolean, buckets array<bigint>"
-    a, b = (named.where(F.col("src") == s).select("src", "id", "cell", "n", "k", "l", "place", "wide", *ATTRIBUTES).mapInArrow(_bucketed(shared), schema).withColumn("key", F.explode("buckets")) for s in (0, 1))
-    a = a.select("id", "place", "key")
-    b = b.select(F.col("id").alias("id2"), F.col("place").alias("place2"), "wide", "key")
     slack = 4.0 / PACK
+    reach = F.when(F.col("wide"), math.ceil((WIDE_RADIUS + slack) * PACK)).otherwise(math.ceil((RADIUS + slack) * PACK))
+    strips = F.array(F.shiftright("place", 42 + STRIP_BITS)), F.sequence(*[F.shiftright(F.shiftright("place", 42) + s * reach, STRIP_BITS) for s in (-1, 1)])
+    a, b = (named.where(F.col("src") == s).select("src", "id", "cell", "n", "k", "l", "place", "wide", *ATTRIBUTES).mapInArrow(_bucketed(shared), schema).withColumn("strip", F.explode(strips[s])).withColumn("bucket", F.explode("buckets")) for s in (0, 1))
+    key = F.xxhash64("bucket", "strip").alias("key")
+    a = a.select("id", "place", key)
+    b = b.select(F.col("id").alias("id2"), F.col("place").alias("place2"), "wide", key)
     near = chord2(tuple(_unpacked("place")), tuple(_unpacked("place2"))) <= F.when(F.col("wide"), (WIDE_RADIUS + slack) ** 2).otherwise((RADIUS + slack) ** 2)
     return a.join(b, "key").where(near).select("id", "id2").distinct()
 
@@ -448,7 +459,7 @@ def _cosines(shared):
         attributes, _ = shared.value
         for batch in batches:
             n = batch.num_rows
-            a, b = (attribute_part(attributes, np.full(n, s), *(batch.column(f"{t}{s}").to_pylist() for t in ATTRIBUTES)).astype(np.float64) for s in (0, 1))
+            a, b = (attribute_part(attributes, np.full(n, s), *(batch.column(f"{t}{s}") for t in ATTRIBUTES)).astype(np.float64) for s in (0, 1))
             square = LOCATION_WEIGHT**2
             cosine = (square + (a * b).sum(axis=1)) / np.sqrt((square + (a * a).sum(axis=1)) * (square + (b * b).sum(axis=1)))
             kept = [c for c in batch.schema.names if c[:-1] not in ATTRIBUTES]
@@ -458,8 +469,14 @@ def _cosines(shared):
 
 
 def _bin(name: str, value: Column) -> Column:
-    steps = [F.when(value >= F.lit(float(b)), 1).otherwise(0) for b in BINS[name]]
-    return F.when(value.isNull(), F.lit(len(steps) + 1)).otherwise(sum(steps[1:], steps[0])).cast("int")
+    def below(edges: list, least: int) -> Column:
+        if not edges:
+            return F.lit(least)
+        half = len(edges) // 2
+        return F.when(value < F.lit(float(edges[half])), below(edges[:half], least)).otherwise(below(edges[half + 1 :], least + half + 1))
+
+    edges = sorted(BINS[name])
+    return F.when(value.isNull(), F.lit(len(edges) + 1)).otherwise(below(edges, 0))
 
 
 def fit_lines(pairs: DataFrame) -> dict[str, tuple[float, float]]:
@@ -546,17 +563,17 @@ def match_entities(survey: DataFrame, catalogue: DataFrame) -> DataFrame:
     """(id, id2, sep, mag, colour, plx, cosine, confidence) of all pairs of one bucket within reach.
 
     ``survey`` and ``catalogue``: the raw deliveries ``first_source`` and ``second_source`` read."""
-    second = materialise(second_source(catalogue))
-    first = materialise(first_source(survey, cells_within_reach(second)))
-    rows = materialise(shared_tokens(first, second))
-    n_second, total = rows.agg(F.sum("src"), F.count(F.lit(1))).first()
-    tables = vector_tables(train_vectors(rows, total))
-    near = bucket_pairs(rows, tables, *table_plan(total - (n_second or 0), n_second or 0))
-    raw = materialise(measured(near, first, second, tables[0]))
+    with hash_joins(survey.sparkSession):
+        second = materialise(second_source(catalogue))
+        first = materialise(first_source(survey, cells_within_reach(second)))
+        rows = materialise(shared_tokens(first, second))
+        n_second, total = rows.agg(F.sum("src"), F.count(F.lit(1))).first()
+        tables = vector_tables(train_vectors(rows, total))
+        near = bucket_pairs(rows, tables, *table_plan(total - (n_second or 0), n_second or 0))
+        raw = materialise(measured(near, first, second, tables[0]))
     for done in (first, second, rows):
         discard(done)
-    pairs = materialise(compared(raw, fit_lines(raw)))
-    discard(raw)
+    pairs = compared(raw, fit_lines(raw))
     bins = [f"{n}_bin" for n in BINS]
     counted = pairs.groupBy(*bins).agg(F.count(F.lit(1)).alias("n")).collect()  # at most one row per combination of bins
     table = np.array([tuple(r) for r in counted], np.int64).reshape(-1, len(bins) + 1)

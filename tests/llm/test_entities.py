@@ -173,3 +173,36 @@ def test_packed_places(spark):
     df = spark.createDataFrame([tuple(map(float, r)) for r in v], "x double, y double, z double")
     rows = df.select("x", "y", "z", em._packed().alias("place")).select("x", "y", "z", *[(c - 1.0).alias(f"p{k}") for k, c in enumerate(em._unpacked("place"))]).select(F.max(F.greatest(*[F.abs(F.col(a) - F.col(b)) for a, b in (("x", "p0"), ("y", "p1"), ("z", "p2"))])))
     assert rows.first()[0] < 2.0 / em.PACK
+
+
+def test_strips_change_no_pair(spark):
+    """Records of one bucket meet by strips, narrow ones that wide reaches span too; the pairs are those within reach."""
+    gaia, hip, _ = sky(400, 0.3, 0.4, 0.6)
+    hip += [(20_000 + k, g[1] + 0.002, g[2] + 0.008, None, None, g[3], 2.0, 0.8, 5, 0.6, None, "m") for k, g in enumerate(gaia[:300])]
+    first, second, rows = sources(spark, gaia, hip)
+    a, b = ([(r.id, r.x, r.y, r.z, r.wide) for r in df.collect()] for df in (first, second))
+    pa, pb = (np.array([r[1:4] for r in side]) for side in (a, b))
+    reach = np.array([em.WIDE_RADIUS if r[4] else em.RADIUS for r in b])
+    want = {(a[i][0], b[j][0]) for i, j in zip(*np.nonzero(((pa[:, None] - pb[None]) ** 2).sum(axis=2) <= reach**2), strict=True)}
+    assert sum(j >= 20_000 for _, j in want) > 200
+    for bits in (4, em.STRIP_BITS):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(em, "STRIP_BITS", bits)
+            got = blocked(rows, {}, 1, 60)
+        assert want <= got and len(got) < 1.05 * len(want)
+
+
+def test_members_of_tokens_are_shuffled_once_for_all_steps(spark):
+    nodes, tokens = em.graph(many_records(spark, 1_000))
+    df = em.walks(nodes, tokens)
+    assert len(df.collect()) == em.WALKS * 2_000
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Window [row_number()") == 1, plan
+
+
+def test_attribute_words_have_one_vector_each():
+    known = {"m0_3": np.ones(em.DIMENSIONS, np.float32)}
+    bins = [em.pa.array(v, em.pa.int16()) for v in ([3, None, 3, -2], [None] * 4, [1, 1, 1, 1])]
+    got = em.attribute_part(known, np.array([0, 0, 1, 1]), *bins)
+    want = [sum(em.ATTRIBUTE_WEIGHT * known[w] for w in words.split()) for words in ("m0_3 c0_none p0_1", "m0_none c0_none p0_1", "m1_3 c1_none p1_1", "m1_-2 c1_none p1_1")]
+    assert np.allclose(got, want, atol=1e-6) and len(known) == 8
